@@ -213,14 +213,15 @@ def anova_f(moments: DataFrame) -> DataFrame:
 
 def combined_importance(f_scores: DataFrame, second: DataFrame, second_col: str,
                         features: DataFrame, w_f: float = 0.5) -> DataFrame:
-    """W * F/max(F) + (1-w) * s/max(s); features without F get 0.
+    """W * F/max(F) + (1-w) * s/max(s); features without a score get 0.
 
     The score tables have one row per feature; ``max over ()`` runs on them,
     never on data rows."""
     f = features.join(f_scores.select("feature", "f_value"), "feature", "left") \
         .withColumn("f_value", F.coalesce("f_value", F.lit(0.0)))
     f = f.withColumn("f_scaled", safe_div(F.col("f_value"), F.max("f_value").over(Window.partitionBy())))
-    s = second.select("feature", F.col(second_col).alias("_s"))
+    s = features.join(second.select("feature", F.col(second_col).alias("_s")), "feature", "left") \
+        .withColumn("_s", F.coalesce("_s", F.lit(0.0)))
     s = s.withColumn("s_scaled", safe_div(F.col("_s"), F.max("_s").over(Window.partitionBy())))
     out = f.join(s.select("feature", "s_scaled"), "feature", "left")
     return out.select("feature", "f_scaled", "s_scaled",

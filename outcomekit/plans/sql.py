@@ -104,7 +104,7 @@ def t_pvalue_ctes(src: str, t_col: str, nu_col: str, name: str, steps: int = 200
 {name}_int AS (
   SELECT feature, any_value(nu) AS nu,
          sum(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
-             * pow(cos(th0 + i * h), nu - 1)) * any_value(h) / 3 AS integral
+             * pow(greatest(cos(th0 + i * h), 0.0), nu - 1)) * any_value(h) / 3 AS integral
   FROM {name}_grid GROUP BY feature),
 {name} AS (
   SELECT p.feature,
