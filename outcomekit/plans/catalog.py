@@ -28,11 +28,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every float column (oracle hashes compare rounded values)."""
+def rounded(df: DataFrame, places: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Round every float column (oracle hashes compare rounded values);
+    ``keep`` columns are already on a coarser grid and stay as they are."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in keep:
             cols.append(F.round(F.col(f"`{f.name}`").cast("double"), places).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))

@@ -1 +1,176 @@
-"""Evaluation queries (E*, R*)."""
+"""Evaluation and report queries (M8, E1-E11, R1-R9, J7) over two closed-form
+scorers (Gaussian naive Bayes, nearest centroid) so every metric has SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from outcomekit.operators import classify, evaluate, report
+from outcomekit.plans.catalog import register, rounded
+from outcomekit.plans.prepared import prepare
+from outcomekit.plans.sql import with_cohort
+
+BY = ["model"]
+
+
+def _scored(spark, sf, on: str = "test"):
+    p = prepare(spark, sf)
+    rows = p.test if on == "test" else p.train
+    nb = classify.fit_gaussian_nb(p.train, p.features)
+    ce = classify.fit_centroids(p.train, p.features)
+    a = classify.apply_gaussian_nb(rows, nb, p.features).select(F.lit("gaussian_nb").alias("model"), "stay_id", "label", "score")
+    b = classify.apply_centroids(rows, ce, p.features).select(F.lit("centroid").alias("model"), "stay_id", "label", "score")
+    s = a.unionByName(b).withColumn("score", F.round("score", 9))
+    return s.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+
+
+SCORE_CTES = """
+, nbfit AS (SELECT label, feature, avg(value) AS mu, var_pop(value) AS v FROM train GROUP BY label, feature)
+, nbeps AS (SELECT 1e-9 * max(v) AS eps FROM (SELECT feature, var_pop(value) AS v FROM train GROUP BY feature))
+, nbprior AS (SELECT label, count(*) / sum(count(*)) OVER () AS prior
+              FROM (SELECT DISTINCT stay_id, label FROM train) GROUP BY label)
+, cefit AS (SELECT label, feature, avg(value) AS mu FROM train GROUP BY label, feature)
+, cescale AS (SELECT feature, CASE WHEN stddev_pop(value) = 0 OR stddev_pop(value) IS NULL THEN 1.0
+                                  ELSE stddev_pop(value) END AS scale FROM train GROUP BY feature)
+, rows_{on} AS (SELECT * FROM {on})
+, nbjll AS (
+  SELECT r.stay_id, f.label AS cls,
+         sum(-0.5 * ln(2 * pi() * (f.v + e.eps)) - 0.5 * (r.value - f.mu) ^ 2 / (f.v + e.eps)) AS s
+  FROM rows_{on} r JOIN nbfit f ON r.feature = f.feature CROSS JOIN nbeps e GROUP BY r.stay_id, f.label)
+, cedist AS (
+  SELECT r.stay_id, f.label AS cls, sum(((r.value - f.mu) / s.scale) ^ 2) AS d2
+  FROM rows_{on} r JOIN cefit f ON r.feature = f.feature JOIN cescale s ON r.feature = s.feature
+  GROUP BY r.stay_id, f.label)
+, ylab AS (SELECT DISTINCT stay_id, label FROM rows_{on})
+, scored AS (
+  SELECT 'gaussian_nb' AS model, y.stay_id, y.label,
+         round(1.0 / (1.0 + exp((j0.s + ln(p0.prior)) - (j1.s + ln(p1.prior)))), 9) AS score
+  FROM ylab y JOIN nbjll j0 ON y.stay_id = j0.stay_id AND j0.cls = 0
+  JOIN nbjll j1 ON y.stay_id = j1.stay_id AND j1.cls = 1
+  CROSS JOIN (SELECT prior FROM nbprior WHERE label = 0) p0 CROSS JOIN (SELECT prior FROM nbprior WHERE label = 1) p1
+  UNION ALL
+  SELECT 'centroid', y.stay_id, y.label, round(1.0 / (1.0 + exp(d1.d2 - d0.d2)), 9)
+  FROM ylab y JOIN cedist d0 ON y.stay_id = d0.stay_id AND d0.cls = 0
+  JOIN cedist d1 ON y.stay_id = d1.stay_id AND d1.cls = 1)
+, preds AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS prediction FROM scored)
+, conf AS (SELECT model, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+                 count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+                 count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+                 count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp FROM preds GROUP BY model)
+, metrics AS (SELECT model, tn, fp, fn, tp,
+    CAST(tp + tn AS DOUBLE) / nullif(tp + tn + fp + fn, 0) AS accuracy,
+    coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
+    coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS recall,
+    coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM conf)
+, sc AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+         FROM preds GROUP BY model, score)
+, curve AS (SELECT model, score, pos, neg,
+    sum(pos) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+    sum(neg) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+    sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N FROM sc)
+, auc AS (SELECT model, sum(pos * (N - cum_neg + 0.5 * neg)) / (any_value(P) * any_value(N)) AS auc
+          FROM curve GROUP BY model)
+, roc AS (SELECT model, score AS threshold, CAST(cum_neg AS DOUBLE) / N AS fpr, CAST(cum_pos AS DOUBLE) / P AS tpr FROM curve
+          UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM preds)
+, youden AS (SELECT model, arg_max(threshold, (tpr - fpr, threshold)) AS threshold, max(tpr - fpr) AS youden_j
+             FROM roc WHERE threshold < CAST('inf' AS DOUBLE) GROUP BY model)
+"""
+
+
+def _sql(body: str, on: str = "test") -> str:
+    return with_cohort(SCORE_CTES.replace("{on}", on).replace("\n, ", ",\n", 1).rstrip() + "\n" + body)
+
+
+@register("gaussian_nb", _sql("SELECT model, stay_id, label, score, prediction FROM preds WHERE model = 'gaussian_nb'"))
+def q_gnb(spark, sf):
+    return _scored(spark, sf).where(F.col("model") == "gaussian_nb")
+
+
+@register("centroid_scores", _sql("SELECT model, stay_id, label, score, prediction FROM preds WHERE model = 'centroid'"))
+def q_centroid(spark, sf):
+    return _scored(spark, sf).where(F.col("model") == "centroid")
+
+
+@register("confusion_counts", _sql("SELECT model, tn, fp, fn, tp FROM conf"))
+def q_confusion(spark, sf):
+    return evaluate.confusion(_scored(spark, sf), BY)
+
+
+METRIC_COLS = "round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1"
+
+
+@register("class_metrics", _sql(f"SELECT model, tn, fp, fn, tp, {METRIC_COLS} FROM metrics"))
+def q_class_metrics(spark, sf):
+    return rounded(evaluate.class_metrics(evaluate.confusion(_scored(spark, sf), BY)))
+
+
+@register("roc_auc", _sql("SELECT model, round(auc, 6) AS auc FROM auc"))
+def q_auc(spark, sf):
+    return rounded(evaluate.roc_auc(_scored(spark, sf), BY))
+
+
+@register("roc_auc_train", _sql("SELECT model, round(auc, 6) AS auc FROM auc", on="train"))
+def q_auc_train(spark, sf):
+    return rounded(evaluate.roc_auc(_scored(spark, sf, "train"), BY))
+
+
+@register("roc_curve", _sql("SELECT model, threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc"))
+def q_roc(spark, sf):
+    return rounded(evaluate.roc_curve(_scored(spark, sf), BY), keep=("threshold",))
+
+
+@register("youden_threshold", _sql("SELECT model, threshold, round(youden_j, 6) AS youden_j FROM youden"))
+def q_youden(spark, sf):
+    return rounded(evaluate.youden_threshold(evaluate.roc_curve(_scored(spark, sf), BY), BY), keep=("threshold",))
+
+
+@register("threshold_predict", _sql("""
+SELECT p.model, y.threshold,
+       count(*) FILTER (WHERE label = 0 AND score < y.threshold) AS tn,
+       count(*) FILTER (WHERE label = 0 AND score >= y.threshold) AS fp,
+       count(*) FILTER (WHERE label = 1 AND score < y.threshold) AS fn,
+       count(*) FILTER (WHERE label = 1 AND score >= y.threshold) AS tp
+FROM preds p JOIN youden y ON p.model = y.model GROUP BY p.model, y.threshold"""))
+def q_threshold_predict(spark, sf):
+    s = _scored(spark, sf).drop("prediction")
+    thr = evaluate.youden_threshold(evaluate.roc_curve(s, BY), BY)
+    applied = evaluate.apply_threshold(s, thr, BY)
+    return evaluate.confusion(applied, BY).join(thr.select("model", "threshold"), "model") \
+        .select("model", "threshold", "tn", "fp", "fn", "tp")
+
+
+@register("pr_curve", _sql("""
+SELECT model, score AS threshold, round(CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg), 6) AS precision,
+       round(CAST(cum_pos AS DOUBLE) / P, 6) AS recall
+FROM curve WHERE cum_pos - pos < P OR P = 0
+UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM preds"""))
+def q_pr(spark, sf):
+    return rounded(evaluate.pr_curve(_scored(spark, sf), BY), keep=("threshold",))
+
+
+@register("average_precision", _sql("""
+SELECT model, round(sum(pos * CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg)) / any_value(P), 6) AS average_precision,
+       round(CAST(any_value(P) AS DOUBLE) / (any_value(P) + any_value(N)), 6) AS baseline
+FROM curve GROUP BY model"""))
+def q_ap(spark, sf):
+    return rounded(evaluate.average_precision(_scored(spark, sf), BY))
+
+
+@register("class_report", _sql("""
+, cls AS (
+  SELECT model, '0' AS "row", coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0) AS precision,
+         coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0.0) AS recall,
+         coalesce(CAST(2 * tn AS DOUBLE) / nullif(2 * tn + fn + fp, 0), 0.0) AS f1, tn + fp AS support FROM conf
+  UNION ALL
+  SELECT model, '1', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0),
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0),
+         coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0), tp + fn FROM conf)
+, allrows AS (
+  SELECT * FROM cls
+  UNION ALL SELECT model, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM cls GROUP BY model
+  UNION ALL SELECT model, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM cls GROUP BY model)
+SELECT model, "row", round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM allrows""".replace("\n, cls AS", ", cls AS", 1)))
+def q_class_report(spark, sf):
+    return rounded(evaluate.class_report(evaluate.confusion(_scored(spark, sf), BY), BY))
