@@ -174,3 +174,109 @@ SELECT model, "row", round(precision, 6) AS precision, round(recall, 6) AS recal
        CAST(support AS BIGINT) AS support FROM allrows""".replace("\n, cls AS", ", cls AS", 1)))
 def q_class_report(spark, sf):
     return rounded(evaluate.class_report(evaluate.confusion(_scored(spark, sf), BY), BY))
+
+
+def _metric_table(spark, sf):
+    s = _scored(spark, sf)
+    m = evaluate.class_metrics(evaluate.confusion(s, BY))
+    return m.join(evaluate.roc_auc(s, BY), "model")
+
+
+MT_CTE = """
+, mt AS (SELECT m.*, a.auc FROM metrics m JOIN auc a ON m.model = a.model)"""
+
+
+def _sqlm(body: str) -> str:
+    return _sql(MT_CTE + "\n" + body)
+
+
+ROUND5 = METRIC_COLS + ", round(auc, 6) AS auc"
+
+
+@register("rank_models", _sqlm(f"""SELECT model, {ROUND5}, row_number() OVER (ORDER BY auc DESC, model) AS rank FROM mt"""))
+def q_rank(spark, sf):
+    return rounded(report.rank_models(_metric_table(spark, sf)).select(
+        "model", "accuracy", "precision", "recall", "f1", "auc", F.col("rank").cast("bigint").alias("rank")))
+
+
+@register("best_model", _sqlm(f"SELECT model, {ROUND5} FROM mt ORDER BY auc DESC, model LIMIT 1"))
+def q_best(spark, sf):
+    return rounded(report.best_model(_metric_table(spark, sf)).select(
+        "model", "accuracy", "precision", "recall", "f1", "auc"))
+
+
+LB_CTE = MT_CTE + """
+, lb AS (
+  SELECT model, 'accuracy' AS metric, accuracy AS value, 1 AS metric_pos FROM mt
+  UNION ALL SELECT model, 'precision', precision, 2 FROM mt
+  UNION ALL SELECT model, 'recall', recall, 3 FROM mt
+  UNION ALL SELECT model, 'f1', f1, 4 FROM mt
+  UNION ALL SELECT model, 'auc', auc, 5 FROM mt)"""
+
+
+@register("unpivot_metrics", _sql(LB_CTE + "\nSELECT model, metric, round(value, 6) AS value, metric_pos FROM lb"))
+def q_unpivot(spark, sf):
+    return rounded(report.unpivot_metrics(_metric_table(spark, sf)))
+
+
+@register("metric_leaderboard", _sql(LB_CTE + """
+SELECT model, metric, round(value, 6) AS value, metric_pos,
+       row_number() OVER (PARTITION BY metric ORDER BY value DESC, model) AS position FROM lb"""))
+def q_leaderboard(spark, sf):
+    out = report.leaderboard(_metric_table(spark, sf))
+    return rounded(out.withColumn("position", F.col("position").cast("bigint")))
+
+
+@register("pivot_metrics", _sql(LB_CTE + f"""
+SELECT model,
+       round(max(value) FILTER (WHERE metric = 'accuracy'), 6) AS accuracy,
+       round(max(value) FILTER (WHERE metric = 'precision'), 6) AS precision,
+       round(max(value) FILTER (WHERE metric = 'recall'), 6) AS recall,
+       round(max(value) FILTER (WHERE metric = 'f1'), 6) AS f1,
+       round(max(value) FILTER (WHERE metric = 'auc'), 6) AS auc
+FROM lb GROUP BY model"""))
+def q_pivot(spark, sf):
+    long = report.unpivot_metrics(_metric_table(spark, sf))
+    return rounded(report.pivot_metrics(long))
+
+
+BANDS_SQL = """CASE WHEN auc > 0.8 THEN 'good' WHEN auc > 0.7 THEN 'moderate' ELSE 'weak' END AS auc_band,
+       CASE WHEN precision > 0.8 THEN 'high' WHEN precision > 0.6 THEN 'medium' ELSE 'low' END AS precision_band,
+       CASE WHEN recall > 0.7 THEN 'high' WHEN recall > 0.5 THEN 'medium' ELSE 'low' END AS recall_band"""
+
+
+@register("metric_bands", _sqlm(f"SELECT model, {BANDS_SQL} FROM mt"))
+def q_bands(spark, sf):
+    return report.bands(_metric_table(spark, sf))
+
+
+@register("metric_display", _sqlm("""
+SELECT model, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision, round(recall, 4) AS recall,
+       round(f1, 4) AS f1, round(auc, 4) AS auc FROM mt"""))
+def q_display(spark, sf):
+    cols = ["accuracy", "precision", "recall", "f1", "auc"]
+    return report.display(_metric_table(spark, sf), cols, 4).select("model", *cols)
+
+
+@register("threshold_table", _sql("SELECT model, threshold AS best_threshold FROM youden"))
+def q_threshold_table(spark, sf):
+    s = _scored(spark, sf)
+    return evaluate.youden_threshold(evaluate.roc_curve(s, BY), BY).select(
+        "model", F.col("threshold").alias("best_threshold"))
+
+
+@register("final_report", _sqlm(f"""
+, best AS (SELECT * FROM mt ORDER BY auc DESC, model LIMIT 1)
+SELECT b.model, {ROUND5.replace('round(', 'round(b.')}, b.tn, b.fp, b.fn, b.tp,
+       {BANDS_SQL.replace('auc >', 'b.auc >').replace('precision >', 'b.precision >').replace('recall >', 'b.recall >')},
+       round(ap.average_precision, 6) AS average_precision
+FROM best b JOIN (SELECT model, sum(pos * CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg)) / any_value(P) AS average_precision
+                  FROM curve GROUP BY model) ap ON b.model = ap.model""".replace("\n, best AS", ", best AS", 1)))
+def q_final_report(spark, sf):
+    s = _scored(spark, sf)
+    m = evaluate.class_metrics(evaluate.confusion(s, BY)).join(evaluate.roc_auc(s, BY), "model")
+    best = report.best_model(m)
+    out = best.join(report.bands(m), "model").join(
+        evaluate.average_precision(s, BY).select("model", "average_precision"), "model")
+    return rounded(out.select("model", "accuracy", "precision", "recall", "f1", "auc", "tn", "fp", "fn", "tp",
+                              "auc_band", "precision_band", "recall_band", "average_precision"))
