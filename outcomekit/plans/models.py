@@ -64,8 +64,11 @@ def _classifier(kind: str, n_features: int, weight: str | None, params: dict):
 LEARNERS: dict[str, tuple[str, LearnerSpec]] = {
     "logistic_regression": ("logistic", LearnerSpec("logistic_regression", "balanced",
                                                     params={"maxIter": 1000, "elasticNetParam": 0.0})),
+    # unbounded depth is capped at 10: Spark grows trees level by level, one
+    # distributed pass (and one node-statistics aggregate) per level
     "random_forest": ("forest", LearnerSpec("random_forest", "balanced",
-                                            params={"numTrees": 200, "minInstancesPerNode": 5, "maxDepth": 30})),
+                                            params={"numTrees": 200, "minInstancesPerNode": 5, "maxDepth": 10,
+                                                    "maxMemoryInMB": 512})),
     "xgboost_like": ("gbt", LearnerSpec("xgboost_like", "pos_weight", 10.0,
                                         params={"maxIter": 100, "maxDepth": 5, "stepSize": 0.3,
                                                 "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"})),
@@ -75,8 +78,9 @@ LEARNERS: dict[str, tuple[str, LearnerSpec]] = {
     "gradient_boosting": ("gbt", LearnerSpec("gradient_boosting", "smote",
                                              params={"maxIter": 200, "stepSize": 0.05, "maxDepth": 5,
                                                      "minInstancesPerNode": 5})),
+    # no early stopping in Spark's MLP: a fixed budget of 100 L-BFGS steps
     "neural_network": ("mlp", LearnerSpec("neural_network", "smote",
-                                          params={"maxIter": 500, "hidden": [100, 50]})),
+                                          params={"maxIter": 100, "tol": 1e-4, "hidden": [100, 50]})),
     "linear_svm": ("linear_svm", LearnerSpec("linear_svm", "balanced", params={"maxIter": 100})),
     "naive_bayes": ("naive_bayes", LearnerSpec("naive_bayes", "none")),
 }
