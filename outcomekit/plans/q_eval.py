@@ -280,3 +280,20 @@ def q_final_report(spark, sf):
         evaluate.average_precision(s, BY).select("model", "average_precision"), "model")
     return rounded(out.select("model", "accuracy", "precision", "recall", "f1", "auc", "tn", "fp", "fn", "tp",
                               "auc_band", "precision_band", "recall_band", "average_precision"))
+
+
+@register("gate_models", _sqlm(f"SELECT model, round(auc, 6) AS auc FROM mt WHERE auc > 0.7"))
+def q_gate(spark, sf):
+    """Only models whose AUC clears 0.7 go on to tuning."""
+    return rounded(_metric_table(spark, sf).where(F.col("auc") > 0.7).select("model", "auc"))
+
+
+@register("metrics_json", _sqlm(f"SELECT model, {ROUND5} FROM mt"))
+def q_metrics_json(spark, sf):
+    """Metrics serialised with to_json and read back field by field."""
+    from outcomekit.sources.sinks import metrics_to_json
+    m = _metric_table(spark, sf).select("model", "accuracy", "precision", "recall", "f1", "auc")
+    js = metrics_to_json(m)
+    schema = "accuracy double, precision double, recall double, f1 double, auc double"
+    back = js.select("model", F.from_json("metrics_json", schema).alias("m")).select("model", "m.*")
+    return rounded(back)
