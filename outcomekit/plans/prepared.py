@@ -50,7 +50,9 @@ class Prepared:
 
 def prepare(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES,
             threshold: float = MISSING_THRESHOLD, strategy: str = "median") -> Prepared:
-    c = prepared_cohort(spark, sf_dir, roles)
+    # read three times (missing rates, fill values, apply): keep it cached
+    # (MEMORY_AND_DISK; a lost block is recomputed from lineage)
+    c = prepared_cohort(spark, sf_dir, roles).cache()
     train = c.where(F.col("split") == "train")
     miss = prep.fit_missingness(train, CANDIDATE_FEATURES, threshold).cache()
     kept = [r.column_name for r in miss.where("keep").select("column_name").collect()]
