@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from outcomekit.config import SMOTE_K, SMOTE_RATIO
 from outcomekit.functions.expr import hash_unit
 from outcomekit.functions.prefix import running_totals
-from outcomekit.operators.neighbours import knn, to_vector_array
+from outcomekit.operators.neighbours import knn
 
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
@@ -69,8 +69,8 @@ def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
     orig = df.withColumn("is_synthetic", F.lit(False)).withColumn("sample_idx", F.lit(None).cast("int"))
     if n_syn == 0 or n_min < 2 or k < 1:
         return orig, df.sparkSession.createDataFrame([], f"{key} long, nn_id long, dist double, nn_rank int")
-    mins = to_vector_array(df.where(F.col(label) == minority), features)
-    nn = knn(mins, mins, key, key, "vec", k, exclude_self=True)
+    mins = df.where(F.col(label) == minority)
+    nn = knn(mins, mins, key, key, features, k, exclude_self=True)
 
     # each minority row seeds floor((j+1) S / M) - floor(j S / M) rows, j = its
     # position in md5 order: exactly S in total, spread evenly

@@ -1,113 +1,128 @@
 """Exact k-nearest neighbours without an all-pairs join (shared by SMOTE
 and the kNN classifier).
 
-Points are projected on the first principal axis u of the reference set
-(``pyspark.ml.feature.PCA``: a distributed d x d Gramian).  Because
-|u.(x - y)| <= ||x - y||, every true neighbour of x lies in the projection
-band [u.x - r, u.x + r] for any r >= the true k-th distance.
-
-1. The projection is cut into ranges (``approxQuantile`` edges, applied by
-   ``Bucketizer``); a cheap first pass compares x only with the reference
-   points of its own and the two adjacent ranges, giving an upper bound r(x)
-   on its k-th distance.
-2. The exact pass joins x with the ranges that overlap its band
-   (``explode(sequence(b_lo, b_hi))`` + equi-join on the range id), keeps
-   pairs with |u.x - u.y| <= r(x) and ||x - y|| <= r(x), and ranks them per
-   query point (``row_number <= k`` -> Spark plans a partial
+Points are projected on the first m principal axes u_1..u_m of the
+reference set (``pyspark.ml.feature.PCA``: a distributed d x d Gramian, the
+only thing pulled to the driver is the d x m axis matrix).  Each axis is
+cut into ranges at approximate quantiles and applied with ``Bucketizer``'s
+binary search, giving a grid of cells of roughly ``rows_per_cell`` points.
+Because |u_i.(x - y)| <= ||x - y|| for unit axes, every true neighbour of x
+within radius r lies in the box prod_i [u_i.x - r, u_i.x + r].
+
+1. Bound: x is compared with the reference points of its own cell and the
+   adjacent cells (3^m cells); the k-th smallest distance r(x) is an upper
+   bound on its true k-th distance.
+2. Exact pass: x is joined (equi-join on the cell id, after exploding the
+   cell ranges its box covers) with every cell that overlaps its box; pairs
+   are filtered on the projections, then on distance <= r(x), then ranked
+   per query point (``row_number <= k`` — Spark plans a partial
    ``WindowGroupLimit`` before the shuffle).
 
-Ties are broken by the reference id, so results match a brute-force
-ORDER BY (distance, id).  Exact duplicates are a single projection value,
-so a heavily repeated point only widens its own range, never the band of
-the others.
+Distances are plain column arithmetic over the feature columns, so they
+stay inside whole-stage codegen.  Ties are broken by the reference id, so
+the result equals a brute-force ORDER BY (distance, id).
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark.ml.feature import PCA, Bucketizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sq_dist(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length arrays (JVM-side)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+def _sum(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out + c
+    return out
 
 
-def dot(a: Column, u: list[float]) -> Column:
-    lit = F.array(*[F.lit(float(x)) for x in u])
-    return F.aggregate(F.zip_with(a, lit, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+def principal_axes(ref: DataFrame, features: list[str], m: int) -> list[list[float]]:
+    """First m principal axes of the reference rows (unit vectors)."""
+    d = len(features)
+    try:
+        vdf = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip").transform(ref.select(*features))
+        pc = PCA(k=m, inputCol="_v", outputCol="_p").fit(vdf).pc.toArray()
+        axes = [[float(pc[j, i]) for j in range(d)] for i in range(m)]
+        if all(math.isfinite(x) for a in axes for x in a) and all(sum(x * x for x in a) > 0.5 for a in axes):
+            return axes
+    except Exception:  # noqa: BLE001 - degenerate input: fall back to coordinate axes
+        pass
+    return [[1.0 if j == i else 0.0 for j in range(d)] for i in range(m)]
 
 
-def principal_axis(ref: DataFrame, vec: str) -> list[float]:
-    """First principal axis of the reference vectors (d-vector to the driver)."""
-    vdf = ref.select(array_to_vector(F.col(vec)).alias("_v"))
-    model = PCA(k=1, inputCol="_v", outputCol="_p").fit(vdf)
-    u = [float(x) for x in model.pc.toArray()[:, 0]]
-    if not all(math.isfinite(x) for x in u) or sum(x * x for x in u) == 0:
-        d = len(u)
-        u = [1.0 / math.sqrt(d)] * d
-    return u
+def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str], k: int,
+        exclude_self: bool = False, rows_per_cell: int = 64, axes: int = 2) -> DataFrame:
+    """(qid, ``nn_id``, ``dist`` (Euclidean), ``nn_rank`` 1..k) for every query row.
 
-
-def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, vec: str, k: int,
-        exclude_self: bool = False, rows_per_range: int = 256) -> DataFrame:
-    """(qid, rid as ``nn_id``, ``dist`` (Euclidean), ``nn_rank`` 1..k).
-
-    ``query`` and ``ref`` carry an id and an array<double> column ``vec``.
+    ``query`` and ``ref`` carry an id column and the numeric ``features``.
     With ``exclude_self`` a query id never matches the same reference id."""
-    u = principal_axis(ref, vec)
-    r = ref.select(F.col(rid).alias("_rid"), F.col(vec).alias("_rv")).withColumn("_rp", dot(F.col("_rv"), u))
-    q = query.select(F.col(qid).alias("_qid"), F.col(vec).alias("_qv")).withColumn("_qp", dot(F.col("_qv"), u))
+    d = len(features)
+    m = max(1, min(axes, d))
+    U = principal_axes(ref, features, m)
+    r = ref.select(F.col(rid).alias("_rid"), *[F.col(f"`{f}`").cast("double").alias(f"_r{j}") for j, f in enumerate(features)])
+    q = query.select(F.col(qid).alias("_qid"), *[F.col(f"`{f}`").cast("double").alias(f"_q{j}") for j, f in enumerate(features)])
+    r = r.withColumns({f"_rp{i}": _sum([F.col(f"_r{j}") * F.lit(U[i][j]) for j in range(d)]) for i in range(m)})
+    q = q.withColumns({f"_qp{i}": _sum([F.col(f"_q{j}") * F.lit(U[i][j]) for j in range(d)]) for i in range(m)})
 
     n_ref = r.count()
-    ranges = max(1, min(65536, math.ceil(n_ref / max(rows_per_range, 4 * (k + 1)))))
-    if ranges > 1:
-        edges = sorted(set(e for e in r.approxQuantile("_rp", [i / ranges for i in range(1, ranges)], 0.001)
-                           if math.isfinite(e)))
+    per_axis = max(1, int(round((n_ref / max(rows_per_cell, 2 * (k + 1))) ** (1.0 / m))))
+    splits = []
+    if per_axis > 1:
+        probs = [i / per_axis for i in range(1, per_axis)]
+        edges = r.approxQuantile([f"_rp{i}" for i in range(m)], probs, 0.25 / per_axis)
+        for e in edges:
+            inner = sorted(set(x for x in e if math.isfinite(x)))
+            splits.append([float("-inf")] + inner + [float("inf")])
     else:
-        edges = []
-    splits = [float("-inf")] + edges + [float("inf")]
-    nb = len(splits) - 2  # last range index
-
-    def bucket(df, col, out):
-        return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df) \
-            .withColumn(out, F.col(out).cast("int"))
-
-    rb = bucket(r, "_rp", "_b")
-    qb = bucket(q, "_qp", "_qb0")
+        splits = [[float("-inf"), float("inf")] for _ in range(m)]
+
+    def bucket(df: DataFrame, axis: int, col: str, out: str) -> DataFrame:
+        sp = splits[axis]
+        if len(sp) < 3:
+            return df.withColumn(out, F.lit(0))
+        return Bucketizer(splits=sp, inputCol=col, outputCol=out, handleInvalid="keep") \
+            .transform(df).withColumn(out, F.col(out).cast("int"))
+
+    for i in range(m):
+        r = bucket(r, i, f"_rp{i}", f"_b{i}")
+        q = bucket(q, i, f"_qp{i}", f"_qc{i}")
+    keys = [f"_b{i}" for i in range(m)]
+    dist = F.sqrt(_sum([(F.col(f"_q{j}") - F.col(f"_r{j}")) ** 2 for j in range(d)]))
     same = (F.col("_qid") != F.col("_rid")) if exclude_self else F.lit(True)
 
-    # pass 1: own range and its neighbours -> upper bound on the k-th distance
-    near = qb.withColumn("_b", F.explode(F.array(F.col("_qb0") - 1, F.col("_qb0"), F.col("_qb0") + 1))) \
-        .where((F.col("_b") >= 0) & (F.col("_b") <= nb))
-    cand = near.join(rb, "_b").where(same).select("_qid", F.sqrt(sq_dist(F.col("_qv"), F.col("_rv"))).alias("_d"))
+    # pass 1: own cell and its neighbours -> upper bound on the k-th distance
+    offs = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(m)])
+                     for o in itertools.product((-1, 0, 1), repeat=m)])
+    near = q.select("*", F.explode(offs).alias("_o")) \
+        .select("*", *[(F.col(f"_qc{i}") + F.col(f"_o.o{i}")).alias(f"_b{i}") for i in range(m)]).drop("_o")
+    cand = near.join(r, keys).where(same).select("_qid", dist.alias("_d"))
     w1 = Window.partitionBy("_qid").orderBy("_d")
-    bound = cand.withColumn("_n", F.row_number().over(w1)).where(F.col("_n") == k) \
-        .select("_qid", F.col("_d").alias("_r"))
-    qr = qb.join(bound, "_qid", "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
-    # band half-width with a little slack for rounding in the projections
-    slack = F.col("_r") * (1 + 1e-9) + F.lit(1e-9)
-    qr = qr.withColumn("_lo", F.col("_qp") - slack).withColumn("_hi", F.col("_qp") + slack)
-    qr = bucket(bucket(qr, "_lo", "_blo"), "_hi", "_bhi")
-
-    # pass 2: every range overlapping the band, exact filter, top-k
-    band = qr.withColumn("_b", F.explode(F.sequence(F.col("_blo"), F.col("_bhi"))))
-    pairs = band.join(rb, "_b").where(same & (F.abs(F.col("_rp") - F.col("_qp")) <= slack)) \
-        .select("_qid", "_rid", "_r", F.sqrt(sq_dist(F.col("_qv"), F.col("_rv"))).alias("dist")) \
-        .where(F.col("dist") <= F.col("_r"))
+    bound = cand.withColumn("_n", F.row_number().over(w1)).where(F.col("_n") == k).select("_qid", F.col("_d").alias("_r"))
+    qr = q.join(bound, "_qid", "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
+    slack = F.col("_r") * (1 + 1e-9) + F.lit(1e-9)  # rounding room for the projections
+    for i in range(m):
+        qr = qr.withColumn(f"_lo{i}", F.col(f"_qp{i}") - slack).withColumn(f"_hi{i}", F.col(f"_qp{i}") + slack)
+        qr = bucket(bucket(qr, i, f"_lo{i}", f"_blo{i}"), i, f"_hi{i}", f"_bhi{i}")
+
+    # pass 2: every cell overlapping the box, projection filter, exact distance, top-k
+    band = qr
+    for i in range(m):
+        band = band.withColumn(f"_b{i}", F.explode(F.sequence(F.col(f"_blo{i}"), F.col(f"_bhi{i}"))))
+    box = _sum([F.lit(0)] + [F.when(F.abs(F.col(f"_rp{i}") - F.col(f"_qp{i}")) <= slack, 0).otherwise(1)
+                             for i in range(m)]) == 0
+    pairs = band.join(r, keys).where(same & box) \
+        .select("_qid", "_rid", "_r", dist.alias("dist")).where(F.col("dist") <= F.col("_r"))
     w2 = Window.partitionBy("_qid").orderBy("dist", "_rid")
     top = pairs.withColumn("nn_rank", F.row_number().over(w2)).where(F.col("nn_rank") <= k)
     return top.select(F.col("_qid").alias(qid), F.col("_rid").alias("nn_id"), "dist",
                       F.col("nn_rank").cast("int").alias("nn_rank"))
 
 
-def to_vector_array(df: DataFrame, features: list[str], out: str = "vec") -> DataFrame:
-    return df.withColumn(out, F.array(*[F.col(f"`{f}`").cast("double") for f in features]))
-
-
-def vector_column_to_array(df: DataFrame, col: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(col)))
+def array_to_columns(df: DataFrame, col: str, dim: int, prefix: str = "v") -> tuple[DataFrame, list[str]]:
+    """Expand a fixed-length array column into scalar columns (a projection)."""
+    names = [f"{prefix}{i}" for i in range(dim)]
+    return df.withColumns({n: F.col(col)[i].cast("double") for i, n in enumerate(names)}), names
