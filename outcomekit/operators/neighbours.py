@@ -91,6 +91,9 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str
         r = bucket(r, i, f"_rp{i}", f"_b{i}")
         q = bucket(q, i, f"_qp{i}", f"_qc{i}")
     keys = [f"_b{i}" for i in range(m)]
+    # both sides are read by the bound pass and the exact pass: keep the
+    # projected, bucketed rows (MEMORY_AND_DISK; lost blocks are recomputed)
+    r, q = r.cache(), q.cache()
     dist = F.sqrt(_sum([(F.col(f"_q{j}") - F.col(f"_r{j}")) ** 2 for j in range(d)]))
     same = (F.col("_qid") != F.col("_rid")) if exclude_self else F.lit(True)
 
@@ -101,7 +104,10 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str
         .select("*", *[(F.col(f"_qc{i}") + F.col(f"_o.o{i}")).alias(f"_b{i}") for i in range(m)]).drop("_o")
     cand = near.join(r, keys).where(same).select("_qid", dist.alias("_d"))
     w1 = Window.partitionBy("_qid").orderBy("_d")
-    bound = cand.withColumn("_n", F.row_number().over(w1)).where(F.col("_n") == k).select("_qid", F.col("_d").alias("_r"))
+    best = cand.withColumn("_n", F.row_number().over(w1)).where(F.col("_n") <= k)
+    # the k-th distance is a valid bound only when k candidates were seen
+    bound = best.groupBy("_qid").agg(F.count(F.lit(1)).alias("_c"), F.max("_d").alias("_m")) \
+        .select("_qid", F.when(F.col("_c") == k, F.col("_m")).alias("_r"))
     qr = q.join(bound, "_qid", "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
     slack = F.col("_r") * (1 + 1e-9) + F.lit(1e-9)  # rounding room for the projections
     for i in range(m):
