@@ -55,11 +55,43 @@ def principal_axes(ref: DataFrame, features: list[str], m: int) -> list[list[flo
 
 
 def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str], k: int,
-        exclude_self: bool = False, rows_per_cell: int = 64, axes: int = 2) -> DataFrame:
-    """(qid, ``nn_id``, ``dist`` (Euclidean), ``nn_rank`` 1..k) for every query row.
+        exclude_self: bool = False, rows_per_cell: int = 32, axes: int = 2) -> DataFrame:
+    """(qid, ``nn_id``, ``dist`` (Euclidean), ``nn_rank`` 1..k) for every query row,
+    ordered by (distance, reference id).
 
     ``query`` and ``ref`` carry an id column and the numeric ``features``.
-    With ``exclude_self`` a query id never matches the same reference id."""
+    With ``exclude_self`` a query id never matches the same reference id.
+
+    Copies are collapsed first: the reference side becomes one row per
+    distinct vector with its smallest k+1 ids (``row_number <= k+1`` per
+    vector — Spark keeps a partial top-(k+1) per map task, so a vector copied
+    a third of the time shuffles a few rows).  The top-k rows by (distance,
+    id) come from the first k+1 distinct vectors by (distance, smallest id),
+    so the grid search runs on distinct vectors and the answer is expanded
+    back from at most (k+1)^2 candidates per query row."""
+    kd = k + 1 if exclude_self else k
+    feats = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
+    copies = ref.select(F.col(rid).alias("_id"), *feats)
+    wv = Window.partitionBy(*features).orderBy("_id")
+    firsts = copies.withColumn("_c", F.row_number().over(wv)).where(F.col("_c") <= k + 1)
+    distinct = firsts.groupBy(*features).agg(F.min("_id").alias("_rep"),
+                                             F.array_sort(F.collect_list("_id")).alias("_ids"))
+    distinct = distinct.cache()
+    near = _knn_unique(query, distinct, qid, "_rep", features, kd, rows_per_cell, axes)
+    ids = distinct.select("_rep", "_ids")
+    exp = near.join(ids, near["nn_id"] == ids["_rep"]).select(
+        F.col(qid).alias("_q"), "dist", F.explode("_ids").alias("_nid"))
+    if exclude_self:
+        exp = exp.where(F.col("_q") != F.col("_nid"))
+    w = Window.partitionBy("_q").orderBy("dist", "_nid")
+    top = exp.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    return top.select(F.col("_q").alias(qid), F.col("_nid").alias("nn_id"), "dist",
+                      F.col("nn_rank").cast("int").alias("nn_rank"))
+
+
+def _knn_unique(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str], k: int,
+                rows_per_cell: int, axes: int, exclude_self: bool = False) -> DataFrame:
+    """Grid-pruned exact kNN against a reference side without repeated vectors."""
     d = len(features)
     m = max(1, min(axes, d))
     U = principal_axes(ref, features, m)
