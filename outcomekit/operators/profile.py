@@ -20,6 +20,11 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def column_names(df: DataFrame, n: int = 20) -> list[str]:
+    """The first n column names (metadata only)."""
+    return df.columns[:n]
+
+
 def dtype_histogram(df: DataFrame) -> DataFrame:
     """How many columns of each type (schema only)."""
     spark = df.sparkSession

@@ -131,12 +131,14 @@ SELECT count(*) FILTER (WHERE l.value IS NULL) AS missing_before,
 FROM long_all l JOIN fills f ON l.feature = f.feature"""))
 def q_impute_audit(spark, sf):
     p = prepare(spark, sf)
-    before = prep.to_long(prepared_cohort(spark, sf), [], p.features)
-    after = prep.to_long(p.data, [], p.features)
-    b = before.agg(F.count_if(F.col("value").isNull()).alias("missing_before"),
-                   F.count(F.lit(1)).alias("total_cells"))
-    a = after.agg(F.count_if(F.col("value").isNull()).alias("missing_after"))
-    return b.join(a).select("missing_before", "missing_after", "total_cells")
+    c = prepared_cohort(spark, sf)
+    # raw and imputed copies side by side in one projection, then one aggregate
+    both = prep.apply_impute(
+        c.select(*p.features, *[F.col(f).alias(f"raw__{f}") for f in p.features]), p.fills)
+    return both.agg(
+        sum(F.count_if(F.col(f"raw__{f}").isNull()) for f in p.features).alias("missing_before"),
+        sum(F.count_if(F.col(f).isNull()) for f in p.features).alias("missing_after"),
+        (F.count(F.lit(1)) * len(p.features)).alias("total_cells"))
 
 
 @register("impute_mode", with_cohort("""
@@ -214,14 +216,17 @@ SELECT count(DISTINCT subject_id) FILTER (WHERE split = 'train') AS n_train_subj
 FROM prepared"""))
 def q_split_leak(spark, sf):
     s = split.group_split(build_cohort(spark, sf), "subject_id")
-    per_subject = s.groupBy("subject_id").agg(F.count_distinct("split").alias("_k"))
-    shared = per_subject.agg(F.count_if(F.col("_k") > 1).alias("n_shared_subjects"))
-    counts = s.agg(
-        F.count_distinct(F.when(F.col("split") == "train", F.col("subject_id"))).alias("n_train_subjects"),
-        F.count_distinct(F.when(F.col("split") == "test", F.col("subject_id"))).alias("n_test_subjects"),
-        F.count_if(F.col("split") == "train").alias("n_train_rows"),
-        F.count_if(F.col("split") == "test").alias("n_test_rows"))
-    return counts.join(shared)
+    # one row per subject (pre-aggregated per task), then one global aggregate
+    per_subject = s.groupBy("subject_id").agg(
+        F.count_distinct("split").alias("_k"),
+        F.count_if(F.col("split") == "train").alias("_tr"),
+        F.count_if(F.col("split") == "test").alias("_te"))
+    return per_subject.agg(
+        F.count_if(F.col("_tr") > 0).alias("n_train_subjects"),
+        F.count_if(F.col("_te") > 0).alias("n_test_subjects"),
+        F.sum("_tr").cast("bigint").alias("n_train_rows"),
+        F.sum("_te").cast("bigint").alias("n_test_rows"),
+        F.count_if(F.col("_k") > 1).alias("n_shared_subjects"))
 
 
 @register("stratified_folds", with_cohort(f"""

@@ -261,3 +261,27 @@ def q_summary(spark, sf):
         F.avg(F.when(F.col("split") == "test", F.col("label"))).alias("test_positive_rate"),
         F.count_distinct("subject_id").alias("n_subjects"),
     ).withColumn("n_features", F.lit(len(p.features)).cast("bigint")))
+
+
+@register("left_join_scores", _sql(ANOVA_CTE + CORR_CTE, """
+SELECT k.feature, round(coalesce(an.f_value, 0.0), 6) AS f_value, round(coalesce(c.abs_r, 0.0), 6) AS abs_r
+FROM kept k LEFT JOIN an ON k.feature = an.feature LEFT JOIN corr c ON k.feature = c.feature"""))
+def q_left_join_scores(spark, sf):
+    """J1 + J2: per-feature score tables left-joined on the feature name, gaps -> 0."""
+    m, _, p = _moments(spark, sf)
+    feats = spark.createDataFrame([(f,) for f in p.features], "feature string")
+    out = feats.join(stats.anova_f(m).select("feature", "f_value"), "feature", "left") \
+        .join(stats.feature_label_corr(m).select("feature", "abs_r"), "feature", "left")
+    return rounded(out.select("feature", F.coalesce("f_value", F.lit(0.0)).alias("f_value"),
+                              F.coalesce("abs_r", F.lit(0.0)).alias("abs_r")))
+
+
+@register("t_pvalues", _sql(TT_CTE + ANOVA_CTE, """
+SELECT tt.feature, round(pp.p, 6) AS p_pooled, round(pw.p, 6) AS p_welch, round(anp.p, 6) AS p_anova
+FROM tt JOIN pp ON tt.feature = pp.feature JOIN pw ON tt.feature = pw.feature JOIN anp ON tt.feature = anp.feature"""))
+def q_t_pvalues(spark, sf):
+    """Every p-value of the per-feature tests side by side."""
+    m, _, _ = _moments(spark, sf)
+    t = stats.t_tests(m).select("feature", "p_pooled", "p_welch")
+    a = stats.anova_f(m).select("feature", F.col("p_value").alias("p_anova"))
+    return rounded(t.join(a, "feature"))

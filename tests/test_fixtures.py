@@ -112,3 +112,14 @@ def test_smote_adaptive_k(spark):
     out, nn = smote(df, ["a", "b"], "id", "label", ratio=1.0, k=5, adaptive_k=True)
     assert nn.agg(F.max("nn_rank")).first()[0] == 3
     assert out.where("label = 1").count() == 20
+
+
+def test_schema_profiles(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "id long, s string, x double") \
+        .withColumn("t", F.current_timestamp())
+    kinds = {r.kind: r.n_columns for r in profile.kind_counts(df).collect()}
+    assert kinds == {"numeric": 2, "categorical": 1, "datetime": 1, "other": 0}
+    types = {r.dtype: r.n_columns for r in profile.dtype_histogram(df).collect()}
+    assert types == {"bigint": 1, "string": 1, "double": 1, "timestamp": 1}
+    assert profile.column_names(df, 2) == ["id", "s"]
+    assert prep.feature_columns(df.withColumnRenamed("id", "stay_id")) == ["x"]
