@@ -137,17 +137,26 @@ def score(model: PipelineModel, df: DataFrame, name: str, key: str = "stay_id",
 
 
 def fit_and_score(names: list[str], train: DataFrame, test: DataFrame, features: list[str],
-                  key: str = "stay_id", label: str = "label") -> tuple[DataFrame, DataFrame]:
+                  key: str = "stay_id", label: str = "label", parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Fit each learner; a failure becomes a row in the error table and
-    the loop goes on.  Returns (predictions, errors)."""
+    the loop goes on.  Fits are submitted from ``parallelism`` driver threads
+    (Spark runs their jobs concurrently, as ``CrossValidator`` does).
+    Returns (predictions, errors)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = train.sparkSession
-    preds, errors = [], []
-    for n in names:
+
+    def one(n):
         try:
             m = fit_learner(n, train, features, key, label)
-            preds.append(score(m, test, n, key, label))
+            return n, score(m, test, n, key, label), None
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            errors.append((n, f"{type(exc).__name__}: {exc}"[:500]))
+            return n, None, f"{type(exc).__name__}: {exc}"[:500]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(one, names))
+    preds = [p for _, p, _ in results if p is not None]
+    errors = [(n, e) for n, _, e in results if e is not None]
     err = spark.createDataFrame(errors, "model string, error string")
     if not preds:
         return spark.createDataFrame([], "model string, stay_id long, label int, score double, prediction int"), err
