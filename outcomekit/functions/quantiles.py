@@ -5,11 +5,12 @@ A plain ``percentile`` aggregate merges one value->count map per group in a
 single task, which is unbounded for a hot group (in long form every feature
 holds all rows).  Here the work is split into rounds:
 
-1. ``count`` per group gives the target ranks.
-2. While a group's candidate bracket holds more than ``max_bracket`` rows,
-   a ``percentile_approx`` sketch over the bracket (bounded memory, partial
-   aggregation) narrows it around the target ranks; a counting pass checks
-   the new bracket really contains them.
+1. One aggregate gives ``count`` per group (the target ranks) and a
+   ``percentile_approx`` sketch (bounded memory, partial aggregation) that
+   proposes a bracket around the target ranks for large groups.
+2. A counting pass checks that the bracket really holds both ranks; while a
+   group's bracket still holds more than ``max_bracket`` rows, a sketch of
+   the rows inside it proposes a narrower one.
 3. The few rows left in each bracket are ranked with a window partitioned
    by (group, prob): at most ``max_bracket`` rows per window partition.
 
@@ -41,9 +42,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     ``n`` is the non-null count per group; groups with n = 0 do not appear.
     """
     base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    state = (
-        counts.select(*keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    pk = keys + ["prob"]
+    # pass 1: counts and, in the same aggregate, a bounded-memory sketch whose
+    # grid proposes the first bracket for groups too large to rank directly
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                     F.percentile_approx("_v", _grid_array(), accuracy).alias("_grid"))
+    st = (
+        counts.select(*keys, "n", "_grid", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
         .withColumn("_pos", (F.col("n") - 1) * F.col("prob"))
         .withColumn("r_lo", F.floor("_pos").cast("bigint") + 1)
         .withColumn("r_hi", F.ceil("_pos").cast("bigint") + 1)
@@ -54,15 +59,23 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         .withColumn("inside", F.col("n"))
         .drop("_pos")
     )
+    big = F.col("n") > max_bracket
+    st = st.select(*[c for c in st.columns if c != "_grid"],
+                   F.when(big, _pick("_grid", 2, "nlo")).alias("nlo"),
+                   F.when(big, _pick("_grid", 2, "nhi")).alias("nhi"))
     # The state is one row per (group, prob): small by construction.  Pull it
     # once so later joins can broadcast a table whose size is known.
-    state = _materialise(state)
-    margin = 2
+    st = _materialise(st)
+    state = st.drop("nlo", "nhi")
+    first = st.where(F.col("nlo").isNotNull()).select(*pk, "nlo", "nhi")
+    if first.limit(1).count() > 0:
+        state = _verify(base, keys, state, first)
+    margin = 4
     for _ in range(max_rounds):
         pending = state.where((F.col("inside") > max_bracket) & (F.col("lo") < F.col("hi")))
         if pending.limit(1).count() == 0:
             break
-        state = _narrow(base, keys, state, pending, accuracy, margin)
+        state = _verify(base, keys, state, _propose(base, keys, pending, accuracy, margin))
         margin *= 2
     return _finish(base, keys, state)
 
@@ -78,31 +91,40 @@ def _materialise(state: DataFrame) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, state.schema))
 
 
-def _narrow(base: DataFrame, keys, state: DataFrame, pending: DataFrame,
-            accuracy: int, margin: int) -> DataFrame:
+def _pick(grid: str, margin: int, which: str):
+    """Grid value just outside the target ranks (relative to the bracket)."""
+    if which == "nlo":
+        i = F.greatest(F.lit(0), F.floor((F.col("r_lo") - F.col("below") - 1) / F.col("inside") * _GRID) - margin)
+    else:
+        i = F.least(F.lit(_GRID), F.ceil((F.col("r_hi") - F.col("below")) / F.col("inside") * _GRID) + margin)
+    return F.element_at(grid, (i + 1).cast("int"))
+
+
+def _in_bracket(lo: str = "lo", hi: str = "hi"):
+    return (F.col("_v") >= F.col(lo)) & (F.col("_v") <= F.col(hi))
+
+
+def _propose(base: DataFrame, keys, pending: DataFrame, accuracy: int, margin: int) -> DataFrame:
+    """A narrower bracket for each pending (group, prob) from a sketch of the
+    rows still inside its current bracket."""
     pk = keys + ["prob"]
     p = pending.select(*pk, "lo", "hi", "below", "inside", "r_lo", "r_hi")
-    rows = base.join(p, keys).where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-    sketch = rows.groupBy(*pk).agg(
+    sketch = base.join(p, keys).where(_in_bracket()).groupBy(*pk).agg(
         F.percentile_approx("_v", _grid_array(), accuracy).alias("_grid"))
-    tgt = (
-        p.join(sketch, pk)
-        .withColumn("_ia", F.greatest(F.lit(0), F.floor((F.col("r_lo") - F.col("below") - 1)
-                                                        / F.col("inside") * _GRID) - margin))
-        .withColumn("_ib", F.least(F.lit(_GRID), F.ceil((F.col("r_hi") - F.col("below"))
-                                                       / F.col("inside") * _GRID) + margin))
-        .select(*pk,
-                F.element_at("_grid", (F.col("_ia") + 1).cast("int")).alias("nlo"),
-                F.element_at("_grid", (F.col("_ib") + 1).cast("int")).alias("nhi"))
-    )
-    tgt = _materialise(tgt)
-    cnt = (
-        rows.join(tgt, pk)
-        .groupBy(*pk)
-        .agg(F.count_if(F.col("_v") < F.col("nlo")).alias("_skip"),
-             F.count_if((F.col("_v") >= F.col("nlo")) & (F.col("_v") <= F.col("nhi"))).alias("_in"))
-    )
-    upd = _materialise(tgt.join(cnt, pk))
+    return _materialise(p.join(sketch, pk).select(*pk, _pick("_grid", margin, "nlo").alias("nlo"),
+                                                  _pick("_grid", margin, "nhi").alias("nhi")))
+
+
+def _verify(base: DataFrame, keys, state: DataFrame, tgt: DataFrame) -> DataFrame:
+    """Count the rows below / inside each proposed bracket (within the current
+    one) and accept it only if it still holds both target ranks."""
+    pk = keys + ["prob"]
+    cur = state.select(*pk, "lo", "hi").join(tgt, pk)
+    cnt = (base.join(cur, keys).where(_in_bracket())
+           .groupBy(*pk)
+           .agg(F.count_if(F.col("_v") < F.col("nlo")).alias("_skip"),
+                F.count_if(_in_bracket("nlo", "nhi")).alias("_in")))
+    upd = _materialise(tgt.join(cnt, pk, "left"))
     s = state.join(upd, pk, "left")
     nb = F.col("below") + F.col("_skip")
     ok = F.col("_in").isNotNull() & (nb < F.col("r_lo")) & (nb + F.col("_in") >= F.col("r_hi"))
