@@ -60,3 +60,27 @@ def test_streaming_scoring(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.table("scored_stays").count() == p.test.count()
+
+
+def test_csv_scan_normalises_na_tokens(spark):
+    from outcomekit.sources.tables import read_csv_table
+    root = tempfile.mkdtemp(prefix="outcomekit-csv-", dir="/tmp")
+    path = os.path.join(root, "stays.csv")
+    with open(path, "w") as fh:
+        fh.write("SUBJECT_ID,ADMITTIME,weight_kg,note\n1,2024-01-01 10:00:00,NaN,NA\n2,bad,3.5,ok\n3,,N/A,None\n")
+    df = read_csv_table(spark, path, "SUBJECT_ID long, ADMITTIME string, weight_kg double, note string")
+    rows = {r.SUBJECT_ID: r for r in df.collect()}
+    assert rows[1].weight_kg is None and rows[1].note is None
+    assert rows[2].weight_kg == 3.5 and rows[2].note == "ok"
+    assert rows[3].ADMITTIME is None and rows[3].note is None
+    assert read_csv_table(spark, os.path.join(root, "missing.csv"), required=False) is None
+
+
+def test_windowed_outcome_rate_batch(spark):
+    from outcomekit.streaming.scoring import windowed_outcome_rate
+    df = spark.createDataFrame(
+        [("m", 0.9, 1, "2024-01-01 01:00:00"), ("m", 0.1, 0, "2024-01-01 05:00:00"),
+         ("m", 0.8, 1, "2024-01-02 01:00:00")], "model string, score double, prediction int, t string") \
+        .withColumn("t", F.to_timestamp("t"))
+    out = {r.window.start.day: r for r in windowed_outcome_rate(df, "t").collect()}
+    assert out[1].n == 2 and out[1].predicted_rate == 0.5 and out[2].n == 1
