@@ -86,6 +86,8 @@ def _materialise(state: DataFrame) -> DataFrame:
         # too many groups to treat the state as a dimension table: keep it
         # distributed (reliable checkpoint cuts the round-over-round lineage)
         # and let the optimizer pick the join.
+        from outcomekit.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(state.sparkSession)
         return state.checkpoint(eager=True)
     spark = state.sparkSession
     return F.broadcast(spark.createDataFrame(rows, state.schema))
