@@ -49,3 +49,15 @@ def test_t_tail_known_values():
     # two-sided normal limit for large nu, and t = 0
     assert float(student_t_sf(1.959963984540054, 1e7)) == pytest.approx(0.05, abs=1e-6)
     assert float(student_t_sf(0.0, 5.0)) == pytest.approx(1.0)
+
+
+def test_exact_quantiles_many_groups_checkpointed_state(spark, monkeypatch):
+    import outcomekit.functions.quantiles as q
+    monkeypatch.setattr(q, "_STATE_BROADCAST_LIMIT", 10)
+    rng = np.random.default_rng(11)
+    rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 40, 4000), rng.normal(size=4000))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5], max_bracket=30).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    for g, grp in pdf.groupby("g"):
+        assert got[g] == pytest.approx(float(np.median(grp.v)), abs=1e-12)
