@@ -48,16 +48,25 @@ class Prepared:
         return self.data.where(F.col("split") == "test")
 
 
+def _local(small: DataFrame) -> DataFrame:
+    rows = small.limit(prep.MAX_FIT_ROWS + 1).collect()
+    if len(rows) > prep.MAX_FIT_ROWS:
+        raise ValueError("fitted table larger than MAX_FIT_ROWS")
+    return small.sparkSession.createDataFrame(rows, small.schema)
+
+
 def prepare(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES,
             threshold: float = MISSING_THRESHOLD, strategy: str = "median") -> Prepared:
     # read three times (missing rates, fill values, apply): keep it cached
     # (MEMORY_AND_DISK; a lost block is recomputed from lineage)
     c = prepared_cohort(spark, sf_dir, roles).cache()
     train = c.where(F.col("split") == "train")
-    miss = prep.fit_missingness(train, CANDIDATE_FEATURES, threshold).cache()
+    # fitted tables have one row per feature: pull them once and keep them as
+    # local relations (no cache entries that every later plan is matched against)
+    miss = _local(prep.fit_missingness(train, CANDIDATE_FEATURES, threshold))
     kept = [r.column_name for r in miss.where("keep").select("column_name").collect()]
     kept = [f for f in CANDIDATE_FEATURES if f in set(kept)]
-    fills = prep.fit_impute(train, kept, strategy).cache()
+    fills = _local(prep.fit_impute(train, kept, strategy))
     data = prep.apply_impute(c.select(roles.stay, roles.subject, roles.time, roles.label, "segment",
                                       "split", *kept), fills)
     return Prepared(data, kept, miss, fills)
