@@ -167,19 +167,17 @@ def fit_and_score(names: list[str], train: DataFrame, test: DataFrame, features:
 
 
 def importance_table(model: PipelineModel, features: list[str], name: str, top: int = 20) -> DataFrame:
-    """Feature importances (trees) or |coefficients| (linear)."""
-    spark = model.stages[-1].sparkSession if hasattr(model.stages[-1], "sparkSession") else None
+    """Feature importances (trees) or |coefficients| (linear),
+    largest first; a learner with neither gives NULL importances."""
+    from pyspark.sql import SparkSession
     clf = model.stages[-1]
     if hasattr(clf, "featureImportances"):
-        vals = clf.featureImportances.toArray().tolist()
-        kind = "importance"
+        vals, kind = clf.featureImportances.toArray().tolist(), "importance"
     elif hasattr(clf, "coefficients"):
-        vals = [abs(x) for x in clf.coefficients.toArray().tolist()]
-        kind = "abs_coefficient"
+        vals, kind = [abs(x) for x in clf.coefficients.toArray().tolist()], "abs_coefficient"
     else:
         vals, kind = [None] * len(features), "none"
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     rows = [(name, f, float(v) if v is not None else None, kind) for f, v in zip(features, vals)]
     df = spark.createDataFrame(rows, "model string, feature string, importance double, kind string")
     return df.orderBy(F.col("importance").desc_nulls_last(), "feature").limit(top)
