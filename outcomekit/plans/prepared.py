@@ -56,11 +56,14 @@ def _local(small: DataFrame) -> DataFrame:
 
 
 def prepare(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES,
-            threshold: float = MISSING_THRESHOLD, strategy: str = "median") -> Prepared:
+            threshold: float = MISSING_THRESHOLD, strategy: str = "median",
+            fit_on: str = "train") -> Prepared:
+    """``fit_on="train"`` fits missing rates and fills on the training split
+    only; ``fit_on="all"`` reproduces fitting on every row (leaks test rows)."""
     # read three times (missing rates, fill values, apply): keep it cached
     # (MEMORY_AND_DISK; a lost block is recomputed from lineage)
     c = prepared_cohort(spark, sf_dir, roles).cache()
-    train = c.where(F.col("split") == "train")
+    train = c.where(F.col("split") == "train") if fit_on == "train" else c
     # fitted tables have one row per feature: pull them once and keep them as
     # local relations (no cache entries that every later plan is matched against)
     miss = _local(prep.fit_missingness(train, CANDIDATE_FEATURES, threshold))
