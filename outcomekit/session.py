@@ -36,7 +36,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    and the master is local (tests) a scratch folder is created and
+    registered.  On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not reachable by other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object storage)")
         configured = tempfile.mkdtemp(prefix="outcomekit-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
