@@ -123,3 +123,25 @@ def test_schema_profiles(spark):
     assert types == {"bigint": 1, "string": 1, "double": 1, "timestamp": 1}
     assert profile.column_names(df, 2) == ["id", "s"]
     assert prep.feature_columns(df.withColumnRenamed("id", "stay_id")) == ["x"]
+
+
+def test_imputation_leaves_present_values(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.floats(-1e6, 1e6)), min_size=1, max_size=30))
+    def check(vals):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, x double")
+        for strategy in ("median", "mean", "zero"):
+            fills = prep.fit_impute(df, ["x"], strategy)
+            out = {r.id: r.x for r in prep.apply_impute(df, fills).collect()}
+            present = [v for v in vals if v is not None]
+            for i, v in enumerate(vals):
+                if v is not None:
+                    assert out[i] == v
+                elif present or strategy == "zero":
+                    assert out[i] is not None
+                else:
+                    assert out[i] is None  # all-null column: fill is NULL, stays NULL
+    check()
