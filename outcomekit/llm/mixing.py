@@ -25,7 +25,7 @@ from outcomekit.llm.common import table, word_count, written
 WEIGHTS = (5, 2, 1)          # by position in code point order, repeating; null last
 CEILING = 3                  # a target stops at this multiple of its source's size
 BLOCK_WORDS = 8              # words in a block
-ROWS_PER_SHARD = 2_000       # documents in a shard, on average
+ROWS_PER_SHARD = 500         # documents in a shard, on average
 MAX_SOURCES = 100_000        # one row each is read by the driver; more raise an error
 SEED = 17
 
