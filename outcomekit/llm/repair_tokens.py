@@ -27,7 +27,6 @@ expanding what is before it (``decode_range``).
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -160,63 +159,74 @@ def symbol_anchors(lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:
 
 # ---- encoding -----------------------------------------------------------
 
-class PieceEncoder:
+def _byte_letters() -> str:
+    """The printable character that a byte-level vocabulary writes for each byte:
+    printable Latin-1 stands for itself, the others follow from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return "".join(chr(b) if b in plain else chr(next(spare)) for b in range(256))
+
+
+class PieceEncoder(dict):
     """Encodes whole texts with the tokenizers library.
 
     A byte-level BPE never merges over the boundary between a non-space and a
     following single space, nor between a letter or digit and a following
     punctuation mark, so a text is the concatenation of its pieces cut there.
-    A piece is encoded by the library once and remembered; a text with a space
-    beside other white space goes to the library whole.
+    A piece's ids are asked from the library once and remembered (this is the
+    mapping piece -> ids; None: the piece has white space at an end and needs
+    its neighbours).  A purely alphabetic piece is one word of the vocabulary's
+    pre-tokenizer and goes to the library's BPE model directly; a text with a
+    space beside other white space goes to the library whole.
     """
 
-    WORD_MARKS = re.compile(r"( ?[^\W_]+)([.,;:!?|]+)")
+    MARKS = ".,;:!?|"
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes | None] = {}      # None: white space at an end, needs its neighbours
+        self.model, self.letters = self.tok.model, _byte_letters()
         self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, fresh: set[str]) -> None:
-        """Remember the ids of new pieces."""
-        if len(self.pieces) > MEMO:
-            self.pieces.clear()
-        if len(self.words) > MEMO:
-            self.words.clear()
-        parts: dict[str, tuple[str, ...]] = {}
-        for p in fresh:
-            if p in (" ", "") or p[-1].isspace() or p[0 if p[0] != " " else 1].isspace():
-                self.pieces[p] = None
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if word.isalpha() or (word[0] == " " and word[1:].isalpha()):
+                written_as = word.encode().decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in self.model.tokenize(written_as)]).tobytes()
+            else:
+                ids = self._encode([word])[0]
+            if len(self.words) > MEMO:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
+
+    def __missing__(self, piece: str) -> bytes | None:
+        if piece in ("", " ") or piece[-1].isspace() or piece[piece[0] == " "].isspace():
+            ids = None
+        else:
+            core = piece.rstrip(self.MARKS)
+            if len(core) < len(piece) and core[-1:].isalnum():
+                ids = self._word(core) + self._word(piece[len(core):])
             else:
-                m = self.WORD_MARKS.fullmatch(p)
-                parts[p] = m.groups() if m else (p,)
-        need = list({x for v in parts.values() for x in v if x not in self.words})
-        self.words.update(zip(need, self._encode(need)))
-        for p, v in parts.items():
-            self.pieces[p] = self.words[v[0]] + self.words[v[1]] if len(v) == 2 else self.words[v[0]]
+                ids = self._word(piece)
+        if len(self) > MEMO:
+            self.clear()
+        self[piece] = ids
+        return ids
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else ["", ""] for t in texts]
-        known = self.pieces.keys()
-        fresh: set[str] = set()
-        for pieces in cut:
-            fresh.update(pieces)
-        fresh -= known
-        if fresh:
-            if len(self.pieces) > MEMO:                # about to be cleared: learn the whole batch anew
-                fresh = {p for pieces in cut for p in pieces}
-            self._learn(fresh)
         out: list[bytes | None] = []
-        for pieces in cut:
+        for t in texts:
             try:
-                out.append(b"".join(map(self.pieces.__getitem__, pieces)))
-            except TypeError:
+                out.append(b"".join(map(self.__getitem__, t.replace(" ", "\0 ").split("\0"))) if "\0" not in t else None)
+            except TypeError:                          # a piece that needs its neighbours
                 out.append(None)
         rest = iter(self._encode([t for t, o in zip(texts, out) if o is None]))
         return [next(rest) if o is None else o for o in out]
