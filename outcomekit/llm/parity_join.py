@@ -16,6 +16,9 @@ order, share one (pigeonhole).  Those segments are the join keys.
   the corpus; frequent shingles (counted over all documents) come last.  The
   order decides the work, not the result.
 * Copies: documents with equal sets are one class; only its smallest id joins.
+* Neither texts nor sets of all documents are shuffled: a bitmap of fixed size
+  (ids hashed to bits) tells the tasks that read the texts which ones are
+  wanted.  A wrong hit makes a row too many, never one too few.
 * No group is expanded into all pairs.  First each member of a key is compared
   with the key's smallest id; links make components; then only members of
   different components of one key are compared.
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomekit.llm.common import table, text_bytes, written
@@ -40,6 +43,7 @@ LEAST_BAND = 64              # shingles; below, one segment a shingle
 HOT_CHUNK = 2_000_000        # shingles counted at once
 HOT_LEAST = 4                # of them, for a shingle to be reported as frequent
 HOT_KEYS = 200_000           # most frequent shingles that the order knows (never decides a link)
+BITS = 1 << 24               # of a bitmap of ids (2 MB); a full one makes more work, not other results
 
 
 # ---- frequent shingles --------------------------------------------------
@@ -113,31 +117,90 @@ def join_keys(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sketch(hot: np.ndarray):
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and digest of each document's set."""
+    for batch in batches:
+        n, same = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+        for i, s in shingle_sets(batch.column("t")):
+            n[i] = len(s)
+            same[i] = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+        yield pa.record_batch([batch.column("id"), pa.array(n), pa.array(same, pa.binary())], names=["id", "n", "same"])
+
+
+def _wanted(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    place = batch.column("place").fill_null(0).to_numpy()
+    hit = (bits[place >> 3] >> (place & 7)) & 1
+    return batch.filter(pa.array(hit.astype(bool) & batch.column("id").is_valid().to_numpy(zero_copy_only=False)))
+
+
+def _keys(hot: np.ndarray, bits: np.ndarray):
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            same, keys, size = [], [], [0]
-            for i, s in shingle_sets(batch.column(1)):
-                n[i] = len(s)
-                same.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                k = join_keys(s, hot)
-                keys.append(k)
-                size.append(size[-1] + len(k))
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(flat.view(np.int64)))
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(same, pa.binary()), lists],
-                                  names=["id", "n", "same", "keys"])
-
-    return sketch
+            batch = _wanted(batch, bits)
+            own = [np.zeros(0, np.uint64)] * batch.num_rows
+            n = np.zeros(batch.num_rows, np.int32)
+            for i, s in shingle_sets(batch.column("t")):
+                own[i], n[i] = join_keys(s, hot), len(s)
+            if batch.num_rows:
+                times = [len(k) for k in own]
+                yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)),
+                                       pa.array(np.repeat(batch.column("id").to_numpy(), times)),
+                                       pa.array(np.repeat(n, times))], names=["key", "id", "n"])
+    return keys
+
+
+def _with_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by (key, id): put the key's first row beside each of
+    its rows; keys of one row go."""
+    last, waiting = None, False          # the current key's first row; does it still have to be given out?
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, doc, n = (batch.column(c).to_numpy() for c in ("key", "id", "n"))
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        goes_on = last is not None and last[0] == key[0]
+        new[0] = not goes_on
+        first = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+        a = np.where(first >= 0, doc[first], last[1] if goes_on else 0)
+        an = np.where(first >= 0, n[first], last[2] if goes_on else 0).astype(np.int32)
+        follows = np.concatenate((~new[1:], [False]))
+        keep = ~new | follows            # has a neighbour of its key in this batch or before
+        out = [key[keep], doc[keep], n[keep], a[keep], an[keep]]
+        if goes_on and waiting:
+            out = [np.concatenate(([v], o)).astype(o.dtype) for v, o in zip((last[0], last[1], last[2], last[1], last[2]), out)]
+            waiting = False
+        if len(out[0]):
+            yield pa.record_batch([pa.array(o) for o in out], names=["key", "id", "n", "a", "an"])
+        if first[-1] >= 0:
+            at = first[-1]
+            last, waiting = (key[at], doc[at], n[at]), at == len(key) - 1
+
+
+def place_of(id_col: str = "id") -> Column:
+    """The bit of an id."""
+    return F.pmod(F.xxhash64(id_col), F.lit(BITS))
+
+
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """Bitmap (``BITS`` bits) of the places of ``id``; read by the driver as at
+    most BITS / 32768 blocks of 4 KB."""
+    place = place_of() + 1
+    blocks = ids.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
+    out = np.zeros(BITS >> 3, np.uint8)
+    for r in blocks.where("b is not null").collect():
+        out[(r["b"] - 1) * 4096: r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return out
 
 
 # ---- verification -------------------------------------------------------
 
-def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [s.tobytes() for _, s in shingle_sets(batch.column(1))]
-        yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["id", "s"])
+def _as_sets(bits: np.ndarray):
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = _wanted(batch, bits)
+            sets = [s.tobytes() for _, s in shingle_sets(batch.column("t"))]
+            yield pa.record_batch([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "s"])
+    return as_sets
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +217,10 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(texts.join(wanted, "id", "left_semi").select("id", "t").mapInArrow(_as_sets, "id long, s binary"), "sets")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    bits = bitmap(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
+    sets = written(texts.select("id", "t", place_of().alias("place")).mapInArrow(_as_sets(bits), "id long, s binary"), "sets")
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked, "a long, b long")
 
@@ -176,16 +241,13 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_bytes(F.col(f"`{text_col}`")).alias("t"))
     hot = frequent_shingles(texts)
-    base = written(texts.mapInArrow(_sketch(hot), "id long, n long, same binary, keys array<long>"), "sketches")
-    classes = base.where("same is not null").groupBy("same").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
-    classes = written(classes, "classes")
-    reps = base.join(classes.select(F.col("rep").alias("id"), "same"), ["id", "same"], "left_semi")
-    reps = reps.dropDuplicates(["id", "same"])
-    keyed = reps.select(F.explode("keys").alias("key"), "id", F.col("n").cast("int").alias("n"))
-    # keys that one document alone has join nothing
-    lowest = keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("m"), F.count("*").alias("k")).where("k > 1")
-    members = written(keyed.join(lowest, "key").select("key", "id", "n", F.col("m.id").alias("a"), F.col("m.n").alias("an")),
-                      "members")
+    base = written(texts.mapInArrow(_classes, "id long, n long, same binary"), "sets-of-documents")
+    classes = written(base.where("same is not null").groupBy("same").agg(F.min("id").alias("rep")), "classes")
+    bits = bitmap(classes.where("rep is not null").select(F.col("rep").alias("id")))
+    keyed = texts.select("id", "t", place_of().alias("place")).mapInArrow(_keys(hot, bits), "key long, id long, n int")
+    # a sketch's key is one of many of a document: even a key of many documents is a small part of a task's rows
+    keyed = keyed.repartition("key").sortWithinPartitions("key", "id")
+    members = written(keyed.mapInArrow(_with_lowest, "key long, id long, n int, a long, an int"), "members")
     first = (members.where((F.col("id") > F.col("a")) & _sizes_fit("n", "an"))
              .select("a", F.col("id").alias("b")).distinct())
     links = written(verified(first, texts), "links")
