@@ -22,7 +22,9 @@ order, share one (pigeonhole).  Those segments are the join keys.
 * No group is expanded into all pairs.  First each member of a key is compared
   with the key's smallest id; links make components; then only members of
   different components of one key are compared.
-* Every link is verified on the whole sets, rebuilt from the texts.
+* A pair is first judged by parity sketches of ``SKETCH`` bits, whose Hamming
+  distance is no larger than the symmetric difference; what passes is verified
+  on the whole sets, rebuilt from the texts.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ LEAST_BAND = 64              # shingles; below, one segment a shingle
 HOT_CHUNK = 2_000_000        # shingles counted at once
 HOT_LEAST = 4                # of them, for a shingle to be reported as frequent
 HOT_KEYS = 200_000           # most frequent shingles that the order knows (never decides a link)
+SKETCH = 1 << 11             # bits of the sketch that a pair is judged by
 BITS = 1 << 24               # of a bitmap of ids (2 MB); a full one makes more work, not other results
 
 
@@ -203,26 +206,62 @@ def _as_sets(bits: np.ndarray):
     return as_sets
 
 
+def parity(s: np.ndarray) -> bytes:
+    """XOR of one bit per shingle: bit i is the parity of those hashed to i."""
+    place = (s >> np.uint64(64 - (SKETCH.bit_length() - 1))).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+
+
+def _as_sketches(bits: np.ndarray):
+    def as_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = _wanted(batch, bits)
+            n, k = [], []
+            for _, s in shingle_sets(batch.column("t")):
+                n.append(len(s))
+                k.append(parity(s))
+            yield pa.record_batch([batch.column("id"), pa.array(n, pa.int32()), pa.array(k, pa.binary())], names=["id", "n", "k"])
+    return as_sketches
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches differ in no more bits than linked sets may."""
+    for batch in batches:
+        bits = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+        differ = np.bitwise_count(bits("ka") ^ bits("kb")).sum(1, dtype=np.int64)
+        most = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array(9 * differ <= most))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
+        for x, y in zip(batch.column("sa"), batch.column("sb")):
             a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = np.sort(np.concatenate((a, b)))
             common = int((both[1:] == both[:-1]).sum())
             keep.append(100 * common >= 80 * (len(a) + len(b) - common))
-        yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _of_pairs(pairs: DataFrame, texts: DataFrame, made, schema: str, name: str) -> DataFrame:
+    """``made`` of the texts of all documents in ``pairs``, written."""
+    bits = bitmap(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
+    return written(texts.select("id", "t", place_of().alias("place")).mapInArrow(made(bits), schema), name)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     pairs = written(pairs, "pairs")
     if pairs.isEmpty():
-        return pairs.select("a", "b")
-    bits = bitmap(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
-    sets = written(texts.select("id", "t", place_of().alias("place")).mapInArrow(_as_sets(bits), "id long, s binary"), "sets")
-    left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked, "a long, b long")
+        return pairs
+    k = _of_pairs(pairs, texts, _as_sketches, "id long, n int, k binary", "pair-sketches")
+    near = pairs.join(k.toDF("a", "na", "ka"), "a").join(k.toDF("b", "nb", "kb"), "b")
+    near = written(near.mapInArrow(_near, "a long, b long").distinct(), "near-pairs")
+    if near.isEmpty():
+        return near
+    s = _of_pairs(near, texts, _as_sets, "id long, s binary", "pair-sets")
+    return near.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b").mapInArrow(_linked, "a long, b long")
 
 
 # ---- the join -----------------------------------------------------------
