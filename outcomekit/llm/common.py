@@ -47,7 +47,7 @@ def text_bytes(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("")).cast("binary")
 
 
-def binary_slices(column: pa.Array, most: int = 4 << 20):
+def binary_slices(column: pa.Array, most: int = 1 << 20):
     """Yield (first, last) row ranges holding about ``most`` bytes each (one
     row at least), so that numpy work on them stays in cache."""
     import numpy as np
