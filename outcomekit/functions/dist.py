@@ -1,10 +1,12 @@
 """Student-t tail probabilities.
 
 Spark SQL has no t / F distribution functions.  The tests here all reduce to
-a two-sided Student-t tail (F(1, v) = t^2 for a binary label), computed as the
-regularised incomplete beta I_x(v/2, 1/2), x = v / (v + t^2), by the standard
-continued fraction (modified Lentz).  It runs as an Arrow-batched pandas UDF
-on the per-feature statistics table (one row per feature), never per data row.
+a two-sided Student-t tail (F(1, v) = t^2 for a binary label).  Up to
+``NORMAL_FROM`` degrees of freedom it is the regularised incomplete beta
+I_x(v/2, 1/2), x = v / (v + t^2), from its continued fraction; beyond, where the
+log-gamma difference would cancel, the normal tail of the transformed t.  It
+runs as an Arrow-batched pandas UDF on the per-feature statistics table (one
+row per feature), never per data row.
 """
 
 from __future__ import annotations
@@ -18,38 +20,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _lgamma = np.frompyfunc(math.lgamma, 1, 1)
-_TINY = 1e-300
-
-
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 2000, eps: float = 1e-15) -> np.ndarray:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    done = np.zeros(x.shape, dtype=bool)
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h = np.where(done, h, h * d * c)
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h = np.where(done, h, h * delta)
-        done |= np.abs(delta - 1.0) < eps
-        if done.all():
-            break
-    return h
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+NORMAL_FROM = 1e6            # degrees of freedom
+
+
+def _fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, depth: int) -> np.ndarray:
+    """1 / (1 + d_1 / (1 + d_2 / (1 + ...))) cut after ``depth`` terms, from the
+    inside out, with d_2m = m (b - m) x / ((a + 2m - 1)(a + 2m)) and
+    d_2m+1 = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1))."""
+    inner = np.ones_like(x)
+    for k in range(depth, 0, -1):
+        m = k // 2
+        if k % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        inner = 1.0 + d / inner
+    return 1.0 / inner
+
+
+def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The fraction, cut deeper until twice the depth changes nothing."""
+    depth = 32
+    value = _fraction(a, b, x, depth)
+    while True:
+        depth *= 2
+        deeper = _fraction(a, b, x, depth)
+        if np.all(np.abs(deeper - value) <= 4e-16 * np.abs(deeper)):
+            return deeper
+        if depth >= 1 << 17:
+            raise ArithmeticError("incomplete beta: continued fraction did not settle")
+        value = deeper
 
 
 def betainc_reg(a, b, x) -> np.ndarray:
@@ -61,30 +62,27 @@ def betainc_reg(a, b, x) -> np.ndarray:
     out[ok & (x == 1)] = 1.0
     mid = ok & (x > 0) & (x < 1)
     if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = (_lgamma(am + bm) - _lgamma(am) - _lgamma(bm)).astype(float) \
-            + am * np.log(xm) + bm * np.log1p(-xm)
-        bt = np.exp(lbt)
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = bt[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        flip = ~direct
-        if flip.any():
-            res[flip] = 1.0 - bt[flip] * _betacf(bm[flip], am[flip], 1.0 - xm[flip]) / bm[flip]
-        out[mid] = res
+        a, b, x = a[mid], b[mid], x[mid]
+        front = np.exp((_lgamma(a + b) - _lgamma(a) - _lgamma(b)).astype(float) + a * np.log(x) + b * np.log1p(-x))
+        # the fraction converges fast below the mean; above it, use I_x(a, b) = 1 - I_1-x(b, a)
+        low = x < (a + 1.0) / (a + b + 2.0)
+        p, q, y = np.where(low, a, b), np.where(low, b, a), np.where(low, x, 1.0 - x)
+        part = front * _beta_fraction(p, q, y) / p
+        out[mid] = np.where(low, part, 1.0 - part)
     return out
 
 
 def student_t_sf(t, nu) -> np.ndarray:
     """Two-sided tail P(|T_nu| >= |t|)."""
-    t = np.asarray(t, dtype=float)
-    nu = np.asarray(nu, dtype=float)
+    t, nu = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(t, nu))
     with np.errstate(invalid="ignore", divide="ignore"):
-        x = nu / (nu + t * t)
-        p = betainc_reg(nu / 2.0, np.full_like(x, 0.5), x)
-    p = np.where(np.isinf(t) & (nu > 0), 0.0, p)
-    return p
+        wide = nu > NORMAL_FROM
+        p = betainc_reg(nu / 2.0, np.full(t.shape, 0.5), np.where(wide, np.nan, nu / (nu + t * t)))
+        # t sqrt(log(1 + t^2/v) v / t^2) (1 - 3/(4 v)) is normal up to terms of order 1 / v^2
+        z = np.sqrt(nu * np.log1p(t * t / nu)) * (1.0 - 0.75 / nu)
+    if wide.any():
+        p = np.where(wide & np.isfinite(t), _erfc(np.where(np.isfinite(z), z, 0.0) / math.sqrt(2.0)).astype(float), p)
+    return np.where(np.isinf(t) & (nu > 0), 0.0, p)
 
 
 @F.pandas_udf(T.DoubleType())

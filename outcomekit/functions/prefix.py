@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[str] | None = None,
-                   descending: bool = True, rows_per_range: int = 500_000,
-                   max_ranges: int = 4096, prefix: str = "cum_",
+                   descending: bool = True, rows_per_range: int = 500_000, prefix: str = "cum_",
                    tiebreak: list[str] | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over all rows at or before this row in the
     (``by``-grouped) order of ``order_col`` then ``tiebreak`` (ascending).  Give
@@ -28,7 +27,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
     by = list(by or [])
     ties = [F.col(t).asc() for t in (tiebreak or [])]
     n = df.count()
-    ranges = max(1, min(max_ranges, math.ceil(n / rows_per_range)))
+    ranges = max(1, math.ceil(n / rows_per_range))
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if ranges == 1:
         w = Window.partitionBy(*by).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
@@ -42,11 +41,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
     rng = F.col("_rng").desc() if descending else F.col("_rng").asc()
     totals = bucketed.groupBy(*by, "_rng").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
     wo = Window.partitionBy(*by).orderBy(rng).rowsBetween(Window.unboundedPreceding, -1)
-    # groups x ranges rows: bounded by max_ranges per group
+    # groups x ranges rows; Spark broadcasts them only if they are small
     offsets = totals.select(*by, "_rng", *[F.coalesce(F.sum("_t_" + c).over(wo), F.lit(0)).alias("_o_" + c)
                                           for c in sum_cols])
     wl = Window.partitionBy(*by, "_rng").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        bucketed.join(F.broadcast(offsets), by + ["_rng"])
+        bucketed.join(offsets, by + ["_rng"])
         .select(*df.columns, *[(F.sum(c).over(wl) + F.col("_o_" + c)).alias(prefix + c) for c in sum_cols])
     )

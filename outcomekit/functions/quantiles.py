@@ -1,159 +1,46 @@
 """Exact quantiles (linear interpolation, like pandas / numpy / SQL
 ``quantile_cont``) without pulling a whole group into one task.
 
-A plain ``percentile`` aggregate merges one value->count map per group in a
-single task, which is unbounded for a hot group (in long form every feature
-holds all rows).  Here the work is split into rounds:
-
-1. One aggregate gives ``count`` per group (the target ranks) and a
-   ``percentile_approx`` sketch (bounded memory, partial aggregation) that
-   proposes a bracket around the target ranks for large groups.
-2. A counting pass checks that the bracket really holds both ranks; while a
-   group's bracket still holds more than ``max_bracket`` rows, a sketch of
-   the rows inside it proposes a narrower one.
-3. The few rows left in each bracket are ranked with a window partitioned
-   by (group, prob): at most ``max_bracket`` rows per window partition.
-
-A bracket whose bounds are equal (a value repeated for a third of the rows)
-is resolved at once, so ties never reach the window.  The per-group state
-table has one row per (group, prob); it is broadcast after a size check.
+Rows are first collapsed to (group, value, count), so a value repeated for any
+share of the rows is one row, pre-aggregated before the shuffle.  Running
+totals of the counts in value order (``functions.prefix``: value ranges, no
+single sort of a group) give each value its span of ranks; a quantile's two
+ranks each fall in one span.  No window runs over raw rows, whatever the data.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_GRID = 1000          # fixed probability grid for the narrowing sketch
-_STATE_BROADCAST_LIMIT = 200_000
-
-
-def _grid_array():
-    return F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+from outcomekit.functions.prefix import running_totals
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    *, accuracy: int = 10000, max_bracket: int = 1_000_000,
-                    max_rounds: int = 8) -> DataFrame:
-    """Return ``keys + [prob, quantile, n]``; NULL values are skipped.
+                    *, rows_per_range: int = 500_000) -> DataFrame:
+    """Return ``keys + [prob, quantile, n]``.
 
-    ``n`` is the non-null count per group; groups with n = 0 do not appear.
+    NULL and NaN values are missing: neither ranked nor counted in ``n``.
+    Groups without a value do not appear.  A NULL key is a group of its own.
     """
-    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    pk = keys + ["prob"]
-    # pass 1: counts and, in the same aggregate, a bounded-memory sketch whose
-    # grid proposes the first bracket for groups too large to rank directly
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                     F.percentile_approx("_v", _grid_array(), accuracy).alias("_grid"))
-    st = (
-        counts.select(*keys, "n", "_grid", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    v = F.col(value).cast("double")
+    # the keys travel as one struct, whose NULL fields compare as equal
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_one"))
+    base = df.where(v.isNotNull() & ~F.isnan(v)).select(key.alias("_k"), v.alias("_v"))
+    spans = running_totals(base.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c")), "_v", ["_c"], by=["_k"],
+                           descending=False, rows_per_range=rows_per_range)
+    sizes = base.groupBy("_k").agg(F.count(F.lit(1)).alias("n"))
+    ranks = (
+        sizes.select("_k", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
         .withColumn("_pos", (F.col("n") - 1) * F.col("prob"))
-        .withColumn("r_lo", F.floor("_pos").cast("bigint") + 1)
-        .withColumn("r_hi", F.ceil("_pos").cast("bigint") + 1)
-        .withColumn("frac", F.col("_pos") - F.floor("_pos"))
-        .withColumn("lo", F.lit(float("-inf")))
-        .withColumn("hi", F.lit(float("inf")))
-        .withColumn("below", F.lit(0).cast("bigint"))
-        .withColumn("inside", F.col("n"))
-        .drop("_pos")
-    )
-    big = F.col("n") > max_bracket
-    st = st.select(*[c for c in st.columns if c != "_grid"],
-                   F.when(big, _pick("_grid", 2, "nlo")).alias("nlo"),
-                   F.when(big, _pick("_grid", 2, "nhi")).alias("nhi"))
-    # The state is one row per (group, prob): small by construction.  Pull it
-    # once so later joins can broadcast a table whose size is known.
-    st = _materialise(st)
-    state = st.drop("nlo", "nhi")
-    first = st.where(F.col("nlo").isNotNull()).select(*pk, "nlo", "nhi")
-    if first.limit(1).count() > 0:
-        state = _verify(base, keys, state, first)
-    margin = 4
-    for _ in range(max_rounds):
-        pending = state.where((F.col("inside") > max_bracket) & (F.col("lo") < F.col("hi")))
-        if pending.limit(1).count() == 0:
-            break
-        state = _verify(base, keys, state, _propose(base, keys, pending, accuracy, margin))
-        margin *= 2
-    return _finish(base, keys, state)
-
-
-def _materialise(state: DataFrame) -> DataFrame:
-    rows = state.limit(_STATE_BROADCAST_LIMIT + 1).collect()
-    if len(rows) > _STATE_BROADCAST_LIMIT:
-        # too many groups to treat the state as a dimension table: keep it
-        # distributed (reliable checkpoint cuts the round-over-round lineage)
-        # and let the optimizer pick the join.
-        from outcomekit.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(state.sparkSession)
-        return state.checkpoint(eager=True)
-    spark = state.sparkSession
-    return F.broadcast(spark.createDataFrame(rows, state.schema))
-
-
-def _pick(grid: str, margin: int, which: str):
-    """Grid value just outside the target ranks (relative to the bracket)."""
-    if which == "nlo":
-        i = F.greatest(F.lit(0), F.floor((F.col("r_lo") - F.col("below") - 1) / F.col("inside") * _GRID) - margin)
-    else:
-        i = F.least(F.lit(_GRID), F.ceil((F.col("r_hi") - F.col("below")) / F.col("inside") * _GRID) + margin)
-    return F.element_at(grid, (i + 1).cast("int"))
-
-
-def _in_bracket(lo: str = "lo", hi: str = "hi"):
-    return (F.col("_v") >= F.col(lo)) & (F.col("_v") <= F.col(hi))
-
-
-def _propose(base: DataFrame, keys, pending: DataFrame, accuracy: int, margin: int) -> DataFrame:
-    """A narrower bracket for each pending (group, prob) from a sketch of the
-    rows still inside its current bracket."""
-    pk = keys + ["prob"]
-    p = pending.select(*pk, "lo", "hi", "below", "inside", "r_lo", "r_hi")
-    sketch = base.join(p, keys).where(_in_bracket()).groupBy(*pk).agg(
-        F.percentile_approx("_v", _grid_array(), accuracy).alias("_grid"))
-    return _materialise(p.join(sketch, pk).select(*pk, _pick("_grid", margin, "nlo").alias("nlo"),
-                                                  _pick("_grid", margin, "nhi").alias("nhi")))
-
-
-def _verify(base: DataFrame, keys, state: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Count the rows below / inside each proposed bracket (within the current
-    one) and accept it only if it still holds both target ranks."""
-    pk = keys + ["prob"]
-    cur = state.select(*pk, "lo", "hi").join(tgt, pk)
-    cnt = (base.join(cur, keys).where(_in_bracket())
-           .groupBy(*pk)
-           .agg(F.count_if(F.col("_v") < F.col("nlo")).alias("_skip"),
-                F.count_if(_in_bracket("nlo", "nhi")).alias("_in")))
-    upd = _materialise(tgt.join(cnt, pk, "left"))
-    s = state.join(upd, pk, "left")
-    nb = F.col("below") + F.col("_skip")
-    ok = F.col("_in").isNotNull() & (nb < F.col("r_lo")) & (nb + F.col("_in") >= F.col("r_hi"))
-    out = s.select(
-        *pk, "n", "r_lo", "r_hi", "frac",
-        F.when(ok, F.col("nlo")).otherwise(F.col("lo")).alias("lo"),
-        F.when(ok, F.col("nhi")).otherwise(F.col("hi")).alias("hi"),
-        F.when(ok, nb).otherwise(F.col("below")).alias("below"),
-        F.when(ok, F.col("_in")).otherwise(F.col("inside")).alias("inside"),
+        .select("_k", "n", "prob", (F.floor("_pos") + 1).alias("_lo"), (F.ceil("_pos") + 1).alias("_hi"),
+                (F.col("_pos") - F.floor("_pos")).alias("_frac"))
     )
-    return _materialise(out)
-
-
-def _finish(base: DataFrame, keys, state: DataFrame) -> DataFrame:
-    pk = keys + ["prob"]
-    tied = state.where(F.col("lo") == F.col("hi")).select(
-        *pk, F.col("lo").alias("quantile"), "n")
-    open_ = state.where(F.col("lo") < F.col("hi"))
-    w = Window.partitionBy(*pk).orderBy("_v")
-    ranked = (
-        base.join(open_.select(*pk, "lo", "hi", "below", "r_lo", "r_hi", "frac", "n"), keys)
-        .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-        .withColumn("_rank", F.col("below") + F.row_number().over(w))
-        .where((F.col("_rank") == F.col("r_lo")) | (F.col("_rank") == F.col("r_hi")))
+    holds = lambda r: (F.col(r) <= F.col("cum__c")) & (F.col(r) > F.col("cum__c") - F.col("_c"))
+    found = (
+        spans.join(ranks, "_k").where(holds("_lo") | holds("_hi"))
+        .groupBy("_k", "prob", "n", "_frac")
+        .agg(F.max(F.when(holds("_lo"), F.col("_v"))).alias("_a"), F.max(F.when(holds("_hi"), F.col("_v"))).alias("_b"))
     )
-    picked = ranked.groupBy(*pk, "frac", "n").agg(
-        F.max(F.when(F.col("_rank") == F.col("r_lo"), F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_rank") == F.col("r_hi"), F.col("_v"))).alias("_b"))
-    solved = picked.select(*pk, (F.col("_a") + F.col("frac") * (F.col("_b") - F.col("_a"))).alias("quantile"), "n")
-    return reduce(DataFrame.unionByName, [solved, tied])
+    return found.select(*[F.col(f"_k.{k}").alias(k) for k in keys], "prob",
+                        (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("quantile"), "n")

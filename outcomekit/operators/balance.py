@@ -66,6 +66,8 @@ def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
     if adaptive_k:
         k = min(k, n_min - 1)
     n_syn = smote_target(n_min, n_maj, ratio)
+    if n_syn and not adaptive_k and n_min <= k:
+        raise ValueError(f"{k} neighbours wanted, but only {n_min} minority rows; set adaptive_k or a smaller k")
     orig = df.withColumn("is_synthetic", F.lit(False)).withColumn("sample_idx", F.lit(None).cast("int"))
     if n_syn == 0 or n_min < 2 or k < 1:
         return orig, df.sparkSession.createDataFrame([], f"{key} long, nn_id long, dist double, nn_rank int")
@@ -79,7 +81,8 @@ def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
         .withColumn("_one", F.lit(1))
     pos = running_totals(h, "_o", ["_one"], descending=False, tiebreak=[key]) \
         .select(key, (F.col("cum__one") - 1).alias("_j"))
-    per = pos.select(key, (F.floor((F.col("_j") + 1) * n_syn / n_min) - F.floor(F.col("_j") * n_syn / n_min))
+    j = F.col("_j").cast("double")       # _j * S passes the range of a long
+    per = pos.select(key, (F.floor((j + 1) * n_syn / n_min) - F.floor(j * n_syn / n_min))
                      .cast("int").alias("_m")).where(F.col("_m") > 0)
     samples = per.select(key, F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("sample_idx"))
     samples = samples.withColumn(

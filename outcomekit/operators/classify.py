@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcomekit.operators.prep import MAX_FIT_ROWS, to_long
+from outcomekit.operators.prep import fitted_rows, to_long
 
 
 def fit_gaussian_nb(train: DataFrame, features: list[str], label: str = "label",
@@ -53,7 +53,7 @@ def _jll(rows, label_value, features) -> Column:
 def apply_gaussian_nb(df: DataFrame, fitted: DataFrame, features: list[str],
                       out: str = "score") -> DataFrame:
     """P(class 1 | x) as ``score`` — a projection with literal class stats."""
-    rows = fitted.limit(MAX_FIT_ROWS).collect()
+    rows = fitted_rows(fitted)
     j0, j1 = _jll(rows, 0, features), _jll(rows, 1, features)
     return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1)))
 
@@ -70,8 +70,8 @@ def fit_centroids(train: DataFrame, features: list[str], label: str = "label") -
 
 def apply_centroids(df: DataFrame, fitted: DataFrame, features: list[str], out: str = "score") -> DataFrame:
     """score = logistic(d0^2 - d1^2) over standardised squared distances."""
-    rows = fitted.limit(MAX_FIT_ROWS).collect()
-    by = {(r[0], r.feature): r for r in rows}
+    rows = fitted_rows(fitted)
+    by ={(r[0], r.feature): r for r in rows}
 
     def d2(c):
         acc = None

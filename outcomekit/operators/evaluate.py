@@ -66,8 +66,10 @@ def _curve(preds: DataFrame, by: list[str], label: str, score: str) -> DataFrame
 def roc_auc(preds: DataFrame, by: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """Rank-sum AUC with half credit for ties."""
     c = _curve(preds, by, label, score)
-    part = F.col("pos") * (F.col("N") - F.col("cum_neg") + 0.5 * F.col("neg"))
-    return c.groupBy(*by).agg(safe_div(F.sum(part), F.first("P") * F.first("N")).alias("auc"))
+    part = F.col("pos").cast("double") * (F.col("N") - F.col("cum_neg") + 0.5 * F.col("neg"))
+    # positives x negatives passes the range of a long at a few billion rows each
+    pairs = F.first("P").cast("double") * F.first("N").cast("double")
+    return c.groupBy(*by).agg(safe_div(F.sum(part), pairs).alias("auc"))
 
 
 def roc_curve(preds: DataFrame, by: list[str], label: str = "label", score: str = "score") -> DataFrame:
@@ -83,9 +85,10 @@ def roc_curve(preds: DataFrame, by: list[str], label: str = "label", score: str
 
 
 def youden_threshold(roc: DataFrame, by: list[str]) -> DataFrame:
-    """E5: argmax(tpr - fpr); ties -> the highest threshold."""
+    """E5: argmax(tpr - fpr) over all points of the curve, the one at +inf
+    (nothing is positive) included; ties -> the highest threshold."""
     j = F.col("tpr") - F.col("fpr")
-    return roc.where(F.col("threshold") < float("inf")).groupBy(*by).agg(
+    return roc.groupBy(*by).agg(
         F.max_by("threshold", F.struct(j, F.col("threshold"))).alias("threshold"),
         F.max(j).alias("youden_j"))
 

@@ -8,8 +8,6 @@ same on a batch or a streaming DataFrame.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,8 +103,17 @@ def fit_missingness(df: DataFrame, cols: list[str] | None = None,
     return missing_counts(df, cols).withColumn("keep", F.col("missing_rate") < F.lit(float(threshold)))
 
 
+def fitted_rows(fitted: DataFrame) -> list:
+    """The rows of a fitted table (one per feature); an error, never a cut,
+    where there are more than ``MAX_FIT_ROWS``."""
+    rows = fitted.limit(MAX_FIT_ROWS + 1).collect()
+    if len(rows) > MAX_FIT_ROWS:
+        raise ValueError(f"fitted table larger than {MAX_FIT_ROWS} rows")
+    return rows
+
+
 def apply_missingness(df: DataFrame, fitted: DataFrame, protect: tuple[str, ...] = ()) -> DataFrame:
-    rows = fitted.select("column_name", "keep").limit(MAX_FIT_ROWS).collect()
+    rows = fitted_rows(fitted.select("column_name", "keep"))
     dropped = {r.column_name for r in rows if not r.keep} - set(protect)
     return df.drop(*[c for c in df.columns if c in dropped])
 
@@ -137,7 +144,7 @@ def fit_impute(df: DataFrame, cols: list[str], strategy: str = "median") -> Data
 
 def apply_impute(df: DataFrame, fills: DataFrame) -> DataFrame:
     """C11 apply: coalesce(col, fill) — a projection with literal fills."""
-    rows = fills.limit(MAX_FIT_ROWS).collect()
+    rows = fitted_rows(fills)
     return df.withColumns({r.feature: F.coalesce(_q(r.feature), F.lit(r.fill).cast(df.schema[r.feature].dataType))
                            for r in rows if r.fill is not None})
 
@@ -155,7 +162,7 @@ def fit_mode(df: DataFrame, cols: list[str], unknown: str = "Unknown") -> DataFr
 
 
 def apply_mode(df: DataFrame, fills: DataFrame) -> DataFrame:
-    rows = fills.limit(MAX_FIT_ROWS).collect()
+    rows = fitted_rows(fills)
     return df.withColumns({r.feature: F.coalesce(_q(r.feature), F.lit(r.fill)) for r in rows})
 
 
@@ -171,7 +178,7 @@ def fit_standardiser(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def apply_standardiser(df: DataFrame, fitted: DataFrame) -> DataFrame:
-    rows = fitted.limit(MAX_FIT_ROWS).collect()
+    rows = fitted_rows(fitted)
     return df.withColumns({r.feature: (_q(r.feature).cast("double") - F.lit(r.mean)) / F.lit(r.scale)
                            for r in rows if r.mean is not None})
 
@@ -193,6 +200,3 @@ def zero_share(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count("value").alias("n_present"),
     ).withColumn("zero_share", safe_div(F.col("n_zero").cast("double"), F.col("n_present").cast("double")))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -69,7 +69,7 @@ LEARNERS: dict[str, tuple[str, LearnerSpec]] = {
     "random_forest": ("forest", LearnerSpec("random_forest", "balanced",
                                             params={"numTrees": 200, "minInstancesPerNode": 5, "maxDepth": 10,
                                                     "maxMemoryInMB": 512})),
-    "xgboost_like": ("gbt", LearnerSpec("xgboost_like", "pos_weight", 10.0,
+    "xgboost_like": ("gbt", LearnerSpec("xgboost_like", "smote_pos_weight", 10.0,
                                         params={"maxIter": 100, "maxDepth": 5, "stepSize": 0.3,
                                                 "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"})),
     "lightgbm_like": ("gbt", LearnerSpec("lightgbm_like", "unbalance",
@@ -107,9 +107,11 @@ def prepare_training(train: DataFrame, features: list[str], spec: LearnerSpec, k
             c = balance.class_counts(train, label)
             w = c.get(0, 0) / c[1] if c.get(1) else 1.0
         return train.withColumn("weight", F.when(F.col(label) == 1, F.lit(float(w))).otherwise(F.lit(1.0))), "weight"
-    if spec.balance == "smote":
+    if spec.balance in ("smote", "smote_pos_weight"):
         out, _ = balance.smote(train, features, key, label, ratio=1.0, k=5, adaptive_k=True)
-        return out, None
+        if spec.balance == "smote":
+            return out, None
+        return out.withColumn("weight", F.when(F.col(label) == 1, F.lit(spec.pos_weight)).otherwise(F.lit(1.0))), "weight"
     return train, None
 
 
@@ -121,7 +123,14 @@ def fit_learner(name: str, train: DataFrame, features: list[str], key: str = "st
         # scikit-learn C = 1 on a summed loss ~ regParam 1/n on Spark's mean loss
         params.setdefault("regParam", 1.0 / max(1, train.count()))
     rows, weight = prepare_training(train.select(key, label, *features), features, spec, key, label)
-    return build_pipeline(kind, features, weight, **params).fit(rows)
+    if not spec.balance.startswith("smote"):
+        return build_pipeline(kind, features, weight, **params).fit(rows)
+    # scaler and learner both read the resampled rows: run the neighbour join once
+    rows = rows.persist()
+    try:
+        return build_pipeline(kind, features, weight, **params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, key: str = "stay_id", label: str = "label") -> DataFrame:

@@ -49,10 +49,7 @@ class Prepared:
 
 
 def _local(small: DataFrame) -> DataFrame:
-    rows = small.limit(prep.MAX_FIT_ROWS + 1).collect()
-    if len(rows) > prep.MAX_FIT_ROWS:
-        raise ValueError("fitted table larger than MAX_FIT_ROWS")
-    return small.sparkSession.createDataFrame(rows, small.schema)
+    return small.sparkSession.createDataFrame(prep.fitted_rows(small), small.schema)
 
 
 def prepare(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES,

@@ -73,7 +73,7 @@ SCORE_CTES = """
 , roc AS (SELECT model, score AS threshold, CAST(cum_neg AS DOUBLE) / N AS fpr, CAST(cum_pos AS DOUBLE) / P AS tpr FROM curve
           UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM preds)
 , youden AS (SELECT model, arg_max(threshold, (tpr - fpr, threshold)) AS threshold, max(tpr - fpr) AS youden_j
-             FROM roc WHERE threshold < CAST('inf' AS DOUBLE) GROUP BY model)
+             FROM roc GROUP BY model)
 """
 
 

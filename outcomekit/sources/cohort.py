@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomekit.config import Roles, DEFAULT_ROLES
+from outcomekit.sources.tables import normalise_nulls
 
 COHORT_FEATURES = ["balance", "total", "qty_min", "qty_max", "qty_range",
                    "price_min", "price_max", "price_range", "disc_mean", "rare_qty"]
@@ -28,9 +29,10 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def build_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    orders = driver_table(spark, sf_dir, "orders")
-    lines = driver_table(spark, sf_dir, "lineitem")
-    customer = driver_table(spark, sf_dir, "customer")
+    # NaN and NA tokens become NULL at the scan, so every later step skips them
+    orders = normalise_nulls(driver_table(spark, sf_dir, "orders"))
+    lines = normalise_nulls(driver_table(spark, sf_dir, "lineitem"))
+    customer = normalise_nulls(driver_table(spark, sf_dir, "customer"))
 
     rare = (F.col("l_returnflag") == "A") & (F.col("l_discount") >= 0.09)
     per_order = (

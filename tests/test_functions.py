@@ -10,8 +10,8 @@ from outcomekit.functions.prefix import running_totals
 from outcomekit.functions.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("max_bracket", [1_000_000, 50])
-def test_exact_quantiles_match_numpy(spark, max_bracket):
+@pytest.mark.parametrize("rows_per_range", [500_000, 100])
+def test_exact_quantiles_match_numpy(spark, rows_per_range):
     rng = np.random.default_rng(3)
     rows = [("a", float(x)) for x in rng.normal(size=2000)]
     rows += [("b", float(x)) for x in rng.integers(0, 5, size=1500)]      # heavy ties
@@ -19,7 +19,7 @@ def test_exact_quantiles_match_numpy(spark, max_bracket):
     rows += [("d", None), ("d", 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, ["g"], "v", probs, max_bracket=max_bracket).collect()}
+    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, ["g"], "v", probs, rows_per_range=rows_per_range).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"]).dropna()
     for g, grp in pdf.groupby("g"):
         for p in probs:
@@ -51,13 +51,13 @@ def test_t_tail_known_values():
     assert float(student_t_sf(0.0, 5.0)) == pytest.approx(1.0)
 
 
-def test_exact_quantiles_many_groups_checkpointed_state(spark, monkeypatch):
-    import outcomekit.functions.quantiles as q
-    monkeypatch.setattr(q, "_STATE_BROADCAST_LIMIT", 10)
-    rng = np.random.default_rng(11)
-    rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 40, 4000), rng.normal(size=4000))]
-    df = spark.createDataFrame(rows, "g int, v double")
-    got = {r.g: r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5], max_bracket=30).collect()}
-    pdf = pd.DataFrame(rows, columns=["g", "v"])
-    for g, grp in pdf.groupby("g"):
-        assert got[g] == pytest.approx(float(np.median(grp.v)), abs=1e-12)
+def test_t_tail_at_large_degrees_of_freedom():
+    for nu in (9e5, 1.1e6, 1e12, 1e13):
+        assert float(student_t_sf(1.7, nu)) == pytest.approx(0.0891309, abs=1e-6)
+
+
+def test_exact_quantiles_null_key_and_nan(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", float("nan")), ("a", 2.0), ("b", None)]
+    got = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", [0.5, 1.0]).collect()
+    assert {(r.g, r.prob): (r.quantile, r.n) for r in got} == {
+        (None, 0.5): (2.0, 2), (None, 1.0): (3.0, 2), ("a", 0.5): (2.0, 1), ("a", 1.0): (2.0, 1)}
