@@ -81,7 +81,7 @@ def student_t_sf(t, nu) -> np.ndarray:
         # t sqrt(log(1 + t^2/v) v / t^2) (1 - 3/(4 v)) is normal up to terms of order 1 / v^2
         z = np.sqrt(nu * np.log1p(t * t / nu)) * (1.0 - 0.75 / nu)
     if wide.any():
-        p = np.where(wide & np.isfinite(t), _erfc(np.where(np.isfinite(z), z, 0.0) / math.sqrt(2.0)).astype(float), p)
+        p = np.where(wide & np.isfinite(t), np.asarray(_erfc(np.where(np.isfinite(z), z, 0.0) / math.sqrt(2.0)), float), p)
     return np.where(np.isinf(t) & (nu > 0), 0.0, p)
 
 
