@@ -46,7 +46,7 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     while True:
         depth *= 2
         deeper = _fraction(a, b, x, depth)
-        if np.all(np.abs(deeper - value) <= 4e-16 * np.abs(deeper)):
+        if np.all(np.abs(deeper - value) <= 1e-14 * np.abs(deeper)):
             return deeper
         if depth >= 1 << 17:
             raise ArithmeticError("incomplete beta: continued fraction did not settle")
