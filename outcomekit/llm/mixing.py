@@ -136,9 +136,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     cells = (cells.join(quota, ["_shard", "_sid"])
              .withColumn("_blocks", blocks)
              .withColumn("_quota", F.least("_quota", ceiling * F.col("_blocks")))
-             .select("_shard", "_sid", "_blocks",
-                     F.when(F.col("_blocks") > 0, F.floor(F.col("_quota") / F.col("_blocks"))).otherwise(0).alias("passes"),
-                     F.when(F.col("_blocks") > 0, F.col("_quota") % F.col("_blocks")).otherwise(0).alias("_more"),
+             # whole passes by words (a cell's last block is short), the rest of the quota in blocks
+             .withColumn("passes", F.when(F.col("_words") > 0, F.least(F.lit(ceiling), F.floor(F.col("_quota") * block / F.col("_words")))).otherwise(0))
+             .withColumn("_rest", F.round((F.col("_quota") * block - F.col("passes") * F.col("_words")) / block).cast("long"))
+             .select("_shard", "_sid", "_blocks", "passes",
+                     F.when(F.col("passes") < ceiling, F.greatest(F.lit(0), F.least("_rest", "_blocks"))).otherwise(0).alias("_more"),
                      _multiplier(F.greatest(F.col("_blocks"), F.lit(1))).alias("_mul")))
     cells = written(cells, "mix-quotas")
     placed = sized.join(plan, same(sized, plan)).drop(plan["_source"])
