@@ -21,7 +21,10 @@ order, share one (pigeonhole).  Those segments are the join keys.
   wanted.  A wrong hit makes a row too many, never one too few.
 * No group is expanded into all pairs.  First each member of a key is compared
   with the key's smallest id; links make components; then only members of
-  different components of one key are compared.
+  different components of one key are compared, and of those only pairs whose
+  places of the key, counted in the order, leave room for a link: the segments
+  before a pair's first common key all differ.  A frequent key comes last in
+  the order, so that only documents made of little else are compared by it.
 * A pair is first judged by parity sketches of ``SKETCH`` bits, whose Hamming
   distance is no larger than the symmetric difference; what passes is verified
   on the whole sets, rebuilt from the texts.
@@ -98,11 +101,13 @@ def bands(n: int) -> list[int | None]:
     return [4 * low] + ([None if low == LEAST_BAND else 2 * low] if near else [])
 
 
-def join_keys(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """The keys under which a set (sorted hashes) is joined."""
-    n, out = len(s), []
+def join_keys(s: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys under which a set (sorted hashes) is joined, and each key's
+    place among its band's in the order: p, or -1 - p where a segment may hold
+    several shingles."""
+    n, out, places = len(s), [], []
     if not n:
-        return s
+        return s, np.zeros(0, np.int32)
     if len(hot):
         is_hot = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
     else:
@@ -117,7 +122,9 @@ def join_keys(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
         mixed = mix64(value + np.uint64(count or 1))
         order = np.lexsort((mixed, rank))[:take]
         out.append(mixed[order])
-    return np.concatenate(out)
+        place = np.arange(len(order), dtype=np.int32)
+        places.append(place if count is None else -1 - place)
+    return np.concatenate(out), np.concatenate(places)
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,15 +147,16 @@ def _keys(hot: np.ndarray, bits: np.ndarray):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = _wanted(batch, bits)
-            own = [np.zeros(0, np.uint64)] * batch.num_rows
+            own, at = [np.zeros(0, np.uint64)] * batch.num_rows, [np.zeros(0, np.int32)] * batch.num_rows
             n = np.zeros(batch.num_rows, np.int32)
             for i, s in shingle_sets(batch.column("t")):
-                own[i], n[i] = join_keys(s, hot), len(s)
+                (own[i], at[i]), n[i] = join_keys(s, hot), len(s)
             if batch.num_rows:
                 times = [len(k) for k in own]
                 yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)),
                                        pa.array(np.repeat(batch.column("id").to_numpy(), times)),
-                                       pa.array(np.repeat(n, times))], names=["key", "id", "n"])
+                                       pa.array(np.repeat(n, times)), pa.array(np.concatenate(at))],
+                                      names=["key", "id", "n", "p"])
     return keys
 
 
@@ -159,24 +167,25 @@ def _with_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc, n = (batch.column(c).to_numpy() for c in ("key", "id", "n"))
+        key, doc, n, p = (batch.column(c).to_numpy() for c in ("key", "id", "n", "p"))
         new = np.concatenate(([True], key[1:] != key[:-1]))
         goes_on = last is not None and last[0] == key[0]
         new[0] = not goes_on
         first = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
         a = np.where(first >= 0, doc[first], last[1] if goes_on else 0)
         an = np.where(first >= 0, n[first], last[2] if goes_on else 0).astype(np.int32)
+        ap = np.where(first >= 0, p[first], last[3] if goes_on else 0).astype(np.int32)
         follows = np.concatenate((~new[1:], [False]))
         keep = ~new | follows            # has a neighbour of its key in this batch or before
-        out = [key[keep], doc[keep], n[keep], a[keep], an[keep]]
+        out = [c[keep] for c in (key, doc, n, p, a, an, ap)]
         if goes_on and waiting:
-            out = [np.concatenate(([v], o)).astype(o.dtype) for v, o in zip((last[0], last[1], last[2], last[1], last[2]), out)]
+            out = [np.concatenate(([v], o)).astype(o.dtype) for v, o in zip((*last, *last[1:]), out)]
             waiting = False
         if len(out[0]):
-            yield pa.record_batch([pa.array(o) for o in out], names=["key", "id", "n", "a", "an"])
+            yield pa.record_batch([pa.array(o) for o in out], names=["key", "id", "n", "p", "a", "an", "ap"])
         if first[-1] >= 0:
             at = first[-1]
-            last, waiting = (key[at], doc[at], n[at]), at == len(key) - 1
+            last, waiting = (key[at], doc[at], n[at], p[at]), at == len(key) - 1
 
 
 def place_of(id_col: str = "id") -> Column:
@@ -266,8 +275,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 # ---- the join -----------------------------------------------------------
 
-def _sizes_fit(a: str, b: str) -> F.Column:
-    return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
+def _may_link(an: str, bn: str, ap: str, bp: str) -> Column:
+    """Could two sets of these sizes link, were the key in these places their
+    first common one?  A link allows a symmetric difference of (an + bn) / 9.
+    The segments before the key differ: all of both, where a segment is a
+    shingle; else as many as the one set or the other has."""
+    an, bn, ap, bp = (F.col(c) for c in (an, bn, ap, bp))
+    sizes = (5 * an >= 4 * bn) & (5 * bn >= 4 * an)
+    return sizes & (9 * F.when(ap < 0, F.greatest(-1 - ap, -1 - bp)).otherwise(ap + bp) <= an + bn)
 
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,21 +299,21 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         base = written(texts.mapInArrow(_classes, "id long, n long, same binary"), "sets-of-documents")
         classes = written(base.where("same is not null").groupBy("same").agg(F.min("id").alias("rep")), "classes")
         bits = bitmap(classes.where("rep is not null").select(F.col("rep").alias("id")))
-        keyed = texts.select("id", "t", place_of().alias("place")).mapInArrow(_keys(hot, bits), "key long, id long, n int")
+        keyed = texts.select("id", "t", place_of().alias("place")).mapInArrow(_keys(hot, bits), "key long, id long, n int, p int")
         # a sketch's key is one of many of a document: even a key of many documents is a small part of a task's rows
         keyed = keyed.repartition("key").sortWithinPartitions("key", "id")
-        members = written(keyed.mapInArrow(_with_lowest, "key long, id long, n int, a long, an int"), "members")
-        first = (members.where((F.col("id") > F.col("a")) & _sizes_fit("n", "an"))
+        members = written(keyed.mapInArrow(_with_lowest, "key long, id long, n int, p int, a long, an int, ap int"), "members")
+        first = (members.where((F.col("id") > F.col("a")) & _may_link("n", "an", "p", "ap"))
                  .select("a", F.col("id").alias("b")).distinct())
         links = written(verified(first, texts), "links")
         found = written(components(links), "roots")
         # second round: keys whose members are in several components so far
-        member = members.select("key", "id", "n").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        member = members.select("key", "id", "n", "p").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
         split = member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         open_ = written(member.join(split, "key"), "open")
-        left = open_.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-        right = open_.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"))
-        second = (left.join(right, "key").where((F.col("ar") < F.col("br")) & _sizes_fit("an", "bn"))
+        left = open_.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("p").alias("ap"), F.col("root").alias("ar"))
+        right = open_.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("p").alias("bp"), F.col("root").alias("br"))
+        second = (left.join(right, "key").where((F.col("ar") < F.col("br")) & _may_link("an", "bn", "ap", "bp"))
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         second = second.join(first, ["a", "b"], "left_anti")
         more = written(verified(second, texts), "links")
