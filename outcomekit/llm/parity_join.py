@@ -25,6 +25,8 @@ order, share one (pigeonhole).  Those segments are the join keys.
   places of the key, counted in the order, leave room for a link: the segments
   before a pair's first common key all differ.  A frequent key comes last in
   the order, so that only documents made of little else are compared by it.
+  Their rows bring a folded sketch along, so that a group of many texts that
+  are alike but not alike enough makes comparisons, yet no rows.
 * A pair is first judged by parity sketches of ``SKETCH`` bits, whose Hamming
   distance is no larger than the symmetric difference; what passes is verified
   on the whole sets, rebuilt from the texts.
@@ -49,6 +51,7 @@ HOT_CHUNK = 2_000_000        # shingles counted at once
 HOT_LEAST = 4                # of them, for a shingle to be reported as frequent
 HOT_KEYS = 200_000           # most frequent shingles that the order knows (never decides a link)
 SKETCH = 1 << 11             # bits of the sketch that a pair is judged by
+FOLDED = 8                   # 64-bit words of that sketch, folded, that rows bring along in the second round
 BITS = 1 << 24               # of a bitmap of ids (2 MB); a full one makes more work, not other results
 
 
@@ -233,6 +236,19 @@ def _as_sketches(bits: np.ndarray):
     return as_sketches
 
 
+def _as_folded(bits: np.ndarray):
+    """Sketches folded by XOR: as parities, they bound the difference too."""
+    def as_folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = _wanted(batch, bits)
+            k = np.zeros((batch.num_rows, FOLDED), np.int64)
+            for i, s in shingle_sets(batch.column("t")):
+                k[i] = np.bitwise_xor.reduce(np.frombuffer(parity(s), np.int64).reshape(-1, FOLDED), axis=0)
+            yield pa.record_batch([batch.column("id"), *(pa.array(w) for w in np.ascontiguousarray(k.T))],
+                                  names=["id", *(f"k{w}" for w in range(FOLDED))])
+    return as_folded
+
+
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches differ in no more bits than linked sets may."""
     for batch in batches:
@@ -255,7 +271,11 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _of_pairs(pairs: DataFrame, texts: DataFrame, made, schema: str, name: str) -> DataFrame:
     """``made`` of the texts of all documents in ``pairs``, written."""
-    bits = bitmap(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
+    return _of_ids(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), texts, made, schema, name)
+
+
+def _of_ids(ids: DataFrame, texts: DataFrame, made, schema: str, name: str) -> DataFrame:
+    bits = bitmap(ids)
     return written(texts.select("id", "t", place_of().alias("place")).mapInArrow(made(bits), schema), name)
 
 
@@ -275,6 +295,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 # ---- the join -----------------------------------------------------------
 
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    """``key`` and all else of ``rows``, as that side's columns."""
+    return rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "key"))
+
+
 def _may_link(an: str, bn: str, ap: str, bp: str) -> Column:
     """Could two sets of these sizes link, were the key in these places their
     first common one?  A link allows a symmetric difference of (an + bn) / 9.
@@ -311,10 +336,13 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         member = members.select("key", "id", "n", "p").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
         split = member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         open_ = written(member.join(split, "key"), "open")
-        left = open_.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("p").alias("ap"), F.col("root").alias("ar"))
-        right = open_.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("p").alias("bp"), F.col("root").alias("br"))
-        second = (left.join(right, "key").where((F.col("ar") < F.col("br")) & _may_link("an", "bn", "ap", "bp"))
-                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        folded = _of_ids(open_.select("id"), texts, _as_folded, ", ".join(["id long", *(f"k{w} long" for w in range(FOLDED))]), "folded")
+        open_ = open_.join(folded, "id")
+        differ = sum((F.bit_count(F.col(f"a_k{w}").bitwiseXOR(F.col(f"b_k{w}"))) for w in range(FOLDED)), F.lit(0))
+        second = (_side(open_, "a").join(_side(open_, "b"), "key")
+                  .where((F.col("a_root") < F.col("b_root")) & _may_link("a_n", "b_n", "a_p", "b_p")
+                         & (9 * differ <= F.col("a_n") + F.col("b_n")))
+                  .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
         second = second.join(first, ["a", "b"], "left_anti")
         more = written(verified(second, texts), "links")
         final = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
