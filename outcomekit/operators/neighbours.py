@@ -41,16 +41,15 @@ def _sum(cols: list[Column]) -> Column:
 
 
 def principal_axes(ref: DataFrame, features: list[str], m: int) -> list[list[float]]:
-    """First m principal axes of the reference rows (unit vectors)."""
+    """First m principal axes of the reference rows (unit vectors); coordinate
+    axes where fewer than two whole rows or fewer than m features are given."""
     d = len(features)
-    try:
-        vdf = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip").transform(ref.select(*features))
+    vdf = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip").transform(ref.select(*features))
+    if d >= m and len(vdf.select("_v").take(2)) == 2:
         pc = PCA(k=m, inputCol="_v", outputCol="_p").fit(vdf).pc.toArray()
         axes = [[float(pc[j, i]) for j in range(d)] for i in range(m)]
         if all(math.isfinite(x) for a in axes for x in a) and all(sum(x * x for x in a) > 0.5 for a in axes):
             return axes
-    except Exception:  # noqa: BLE001 - degenerate input: fall back to coordinate axes
-        pass
     return [[1.0 if j == i else 0.0 for j in range(d)] for i in range(m)]
 
 

@@ -29,8 +29,8 @@ def group_split(df: DataFrame, subject: str, test_percent: int = TEST_SHARE_PERC
 
 
 def _hash_order(key: str):
-    """First 52 bits of md5(key) as an exactly representable double."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("bigint").cast("double")
+    """First 52 bits of md5(key) as an exactly representable double; a null key hashes as empty."""
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 13), 16, 10).cast("bigint").cast("double")
 
 
 def split_exact(df: DataFrame, subject: str, test_share: float = TEST_SHARE_PERCENT / 100,
@@ -38,14 +38,16 @@ def split_exact(df: DataFrame, subject: str, test_share: float = TEST_SHARE_PERC
     """J5 exact size: test = the ceil(share * n) distinct subjects with the
     smallest hash.  The position of each subject in hash order comes from
     range-bucketed running counts over the distinct-subject table (no single
-    task sees all subjects); only the subject -> side table joins back."""
+    task sees all subjects); only the subject -> side table joins back.  Rows
+    without a subject are one subject."""
     from outcomekit.functions.prefix import running_totals
     subjects = df.select(subject).distinct().withColumn("_o", _hash_order(subject)).withColumn("_one", F.lit(1))
     n = subjects.count()
     k = math.ceil(test_share * n)
     pos = running_totals(subjects, "_o", ["_one"], descending=False, tiebreak=[subject])
-    side = pos.select(subject, F.when(F.col("cum__one") <= k, F.lit("test")).otherwise(F.lit("train")).alias(col))
-    return df.join(side, subject, "left")
+    side = pos.select(F.col(subject).alias("_subject"),
+                      F.when(F.col("cum__one") <= k, F.lit("test")).otherwise(F.lit("train")).alias(col))
+    return df.join(side, F.col(subject).eqNullSafe(F.col("_subject")), "left").drop("_subject")
 
 
 def semi_join_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:

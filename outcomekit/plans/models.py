@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from outcomekit.config import SEED
 from outcomekit.operators import balance
+from outcomekit.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -147,18 +148,20 @@ def score(model: PipelineModel, df: DataFrame, name: str, key: str = "stay_id",
 
 def fit_and_score(names: list[str], train: DataFrame, test: DataFrame, features: list[str],
                   key: str = "stay_id", label: str = "label", parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Fit each learner; a failure becomes a row in the error table and
+    """Fit each learner and score with it; a failure of either becomes a row in the error table and
     the loop goes on.  Fits are submitted from ``parallelism`` driver threads
     (Spark runs their jobs concurrently, as ``CrossValidator`` does).
     Returns (predictions, errors)."""
     from concurrent.futures import ThreadPoolExecutor
 
     spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
 
     def one(n):
         try:
             m = fit_learner(n, train, features, key, label)
-            return n, score(m, test, n, key, label), None
+            # scored here and now, into the shared folder: a failure of the scoring stays in this row too
+            return n, score(m, test, n, key, label).checkpoint(), None
         except Exception as exc:  # noqa: BLE001 - isolation is the point
             return n, None, f"{type(exc).__name__}: {exc}"[:500]
 
@@ -168,7 +171,9 @@ def fit_and_score(names: list[str], train: DataFrame, test: DataFrame, features:
     errors = [(n, e) for n, _, e in results if e is not None]
     err = spark.createDataFrame(errors, "model string, error string")
     if not preds:
-        return spark.createDataFrame([], "model string, stay_id long, label int, score double, prediction int"), err
+        none = test.limit(0).select(F.lit("").alias("model"), key, label, F.lit(0.0).alias("score"),
+                                    F.lit(0).alias("prediction"))
+        return none, err
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)

@@ -23,6 +23,27 @@ def test_split_exact_size(spark):
     assert n_test == math.ceil(0.2 * 101)
 
 
+def test_split_exact_gives_rows_without_subject_one_side(spark):
+    df = spark.createDataFrame([(i, i % 10 or None) for i in range(200)], "stay long, subject long")
+    s = split.split_exact(df, "subject", 0.3)
+    assert s.count() == 200 and s.where("split is null").count() == 0
+    assert s.where("subject is null").select("split").distinct().count() == 1
+    per = s.groupBy("subject").agg(F.min("split").alias("side")).groupBy("side").count()
+    assert {r.side: r["count"] for r in per.collect()} == {"test": 3, "train": 7}
+
+
+def test_failed_scoring_is_a_row_of_the_error_table(spark):
+    from outcomekit.plans.models import fit_and_score
+    train = spark.createDataFrame([(i, int(i % 3 == 0), float(i % 7)) for i in range(60)], "key long, label int, x double")
+    bad = train.withColumn("x", F.when(F.col("key") >= 0, F.raise_error(F.lit("no such value")).cast("double")))
+    preds, errors = fit_and_score(["logistic_regression"], train, bad, ["x"], key="key")
+    assert preds.columns == ["model", "key", "label", "score", "prediction"] and preds.count() == 0
+    (row,) = errors.collect()
+    assert row.model == "logistic_regression" and "no such value" in row.error
+    good, none = fit_and_score(["logistic_regression"], train, train, ["x"], key="key")
+    assert good.count() == 60 and none.count() == 0
+
+
 def test_stratified_folds_balance(spark):
     df = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1200)], "id long, label int")
     f = split.stratified_folds(df, "id", "label", 3)
