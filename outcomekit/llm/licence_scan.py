@@ -74,6 +74,24 @@ class Templates:
         m = self.all[k][2].total()
         return 2 * min(n, m) >= self.least * (n + m)
 
+    def windows(self, k: int, start: int, words: list[str]) -> Iterator[tuple[int, int]]:
+        """Windows of template ``k``'s length about ``start``, clipped to the
+        text: by more places than the least coefficient allows an intact notice
+        to be off, a window loses too many bigrams."""
+        _, own, grams = self.all[k]
+        m, slack = grams.total(), int((1 - self.least) * grams.total()) + 1
+        lo, hi = max(0, start), min(len(words), start + len(own))
+        if not self.fits(k, min(m, max(0, hi - lo - 1) + slack)):
+            return
+        # moved by one place, a window gains one bigram at most; it needs as many as it would, had it no others
+        most = (grams & bigrams(words[lo:hi])).total() + slack
+        if (2 - self.least) * most < self.least * m:
+            return
+        for at in range(start - slack, start + slack + 1):
+            lo, hi = max(0, at), min(len(words), at + len(own))
+            if self.fits(k, hi - lo - 1):
+                yield lo, hi
+
     def matches(self, text: str) -> dict[str, tuple[float, int]]:
         """Licence -> (best coefficient, first word of the passage)."""
         found: dict[str, tuple[float, int]] = {}
@@ -86,11 +104,9 @@ class Templates:
             words += own
         if CUES.isdisjoint(words):
             return found
-        for i, w in enumerate(words):
-            for k, at in self.by_cue.get(w, ()):
-                lo, hi = max(0, i - at), min(len(words), i - at + len(self.all[k][1]))
-                if self.fits(k, hi - lo - 1):
-                    spans.add((k, lo, hi))
+        aligned = {(k, i - at) for i, w in enumerate(words) for k, at in self.by_cue.get(w, ())}
+        for k, start in aligned:
+            spans.update((k, lo, hi) for lo, hi in self.windows(k, start, words))
         for k, lo, hi in sorted(spans):
             name, _, grams = self.all[k]
             d = dice(grams, bigrams(words[lo:hi]))
