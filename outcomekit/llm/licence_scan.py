@@ -1,15 +1,18 @@
 """Licence scan (operator 2): normalised text against licence templates by the
 Dice coefficient over word bigrams.
 
-Text is normalised to lower-case runs of letters and digits.  A passage is
-compared with a template only if their sizes allow the wanted coefficient:
-with a and b bigrams it is at most 2 min(a, b) / (a + b).  Two kinds of
-passages cover a whole document: every line, and every window of a template's
-length that is aligned on one of the template's rare words.
+Text is normalised to lower-case runs of letters and digits.  With a and b
+bigrams the coefficient is at most 2 min(a, b) / (a + b), so a passage must
+hold a fixed share of a template's bigrams within a bounded length.  The places
+of the template's bigrams in a text are found first; where enough of them are
+close together, every passage that begins and ends on one of them is compared
+(a passage with other ends has a shorter one inside it that scores higher).
+The result is the best passage of any place and length.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,8 +44,6 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC0-1.0": ("Released under CC0 1.0.", "This work is dedicated to the public domain."),
     "Proprietary": ("All rights reserved.",),
 }
-# Words of the templates that hardly occur elsewhere: windows are aligned on them.
-CUES = frozenset("license licensed licence released apache mit gnu gpl permission redistribution redistribute mozilla commons cc cc0 reserved dedicated bsd compliance".split())
 RUN = re.compile(r"[^\W_]+")
 
 
@@ -62,56 +63,54 @@ def dice(a: Counter, b: Counter) -> float:
 class Templates:
     def __init__(self, templates: dict[str, tuple[str, ...]], least: float):
         self.least = least
-        self.all = [(name, w, bigrams(w)) for name, texts in templates.items() for t in texts for w in [normalise(t)]]
-        self.by_cue: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, words, _) in enumerate(self.all):
-            for at, w in enumerate(words):
-                if w in CUES:
-                    self.by_cue.setdefault(w, []).append((k, at))
-
-    def fits(self, k: int, n: int) -> bool:
-        """Can ``n`` bigrams reach the least coefficient with template ``k``?"""
-        m = self.all[k][2].total()
-        return 2 * min(n, m) >= self.least * (n + m)
-
-    def windows(self, k: int, start: int, words: list[str]) -> Iterator[tuple[int, int]]:
-        """Windows of template ``k``'s length about ``start``, clipped to the
-        text: by more places than the least coefficient allows an intact notice
-        to be off, a window loses too many bigrams."""
-        _, own, grams = self.all[k]
-        m, slack = grams.total(), int((1 - self.least) * grams.total()) + 1
-        lo, hi = max(0, start), min(len(words), start + len(own))
-        if not self.fits(k, min(m, max(0, hi - lo - 1) + slack)):
-            return
-        # moved by one place, a window gains one bigram at most; it needs as many as it would, had it no others
-        most = (grams & bigrams(words[lo:hi])).total() + slack
-        if (2 - self.least) * most < self.least * m:
-            return
-        for at in range(start - slack, start + slack + 1):
-            lo, hi = max(0, at), min(len(words), at + len(own))
-            if self.fits(k, hi - lo - 1):
-                yield lo, hi
+        self.all = [(name, grams) for name, texts in templates.items() for t in texts if (grams := bigrams(normalise(t)))]
+        self.by_bigram: dict[tuple[str, str], list[int]] = {}
+        for k, (_, grams) in enumerate(self.all):
+            for g in grams:
+                self.by_bigram.setdefault(g, []).append(k)
+        # per template: common bigrams that a passage needs, bigrams that it has at most
+        self.bounds = [(math.ceil(m * least / (2 - least) - 1e-9), math.floor(m * (2 / least - 1) + 1e-9))
+                       for _, grams in self.all for m in [grams.total()]]
+
+    def best(self, k: int, places: list[int], pairs: list[tuple[str, str]]) -> tuple[float, int]:
+        """(coefficient, first word) of the best passage, (0, 0) if none reaches
+        the least one; ``places`` are those of template ``k``'s bigrams."""
+        grams = self.all[k][1]
+        m, (needed, longest) = grams.total(), self.bounds[k]
+        best = (0.0, 0)
+        for i in range(len(places) - needed + 1):
+            lo = places[i]
+            if places[i + needed - 1] - lo >= longest:
+                continue
+            left, common = dict(grams), 0
+            for j in range(i, len(places)):
+                n = places[j] - lo + 1
+                if n > longest:
+                    break
+                g = pairs[places[j]]
+                if left[g]:
+                    left[g] -= 1
+                    common += 1
+                    d = 2 * common / (n + m)
+                    if d >= self.least and d > best[0]:
+                        best = (d, lo)
+        return best
 
     def matches(self, text: str) -> dict[str, tuple[float, int]]:
         """Licence -> (best coefficient, first word of the passage)."""
         found: dict[str, tuple[float, int]] = {}
-        words: list[str] = []
-        spans: set[tuple[int, int, int]] = set()         # template, passage
-        for line in text.split("\n"):
-            own = normalise(line)
-            if own and not CUES.isdisjoint(own):
-                spans.update((k, len(words), len(words) + len(own)) for k in range(len(self.all)) if self.fits(k, len(own) - 1))
-            words += own
-        if CUES.isdisjoint(words):
-            return found
-        aligned = {(k, i - at) for i, w in enumerate(words) for k, at in self.by_cue.get(w, ())}
-        for k, start in aligned:
-            spans.update((k, lo, hi) for lo, hi in self.windows(k, start, words))
-        for k, lo, hi in sorted(spans):
-            name, _, grams = self.all[k]
-            d = dice(grams, bigrams(words[lo:hi]))
-            if d >= self.least and d > found.get(name, (0.0, 0))[0]:
-                found[name] = (d, lo)
+        words = normalise(text)
+        pairs = list(zip(words, words[1:]))
+        places: dict[int, list[int]] = {}
+        for at, ks in enumerate(map(self.by_bigram.get, pairs)):
+            if ks:
+                for k in ks:
+                    places.setdefault(k, []).append(at)
+        for k in sorted(places):
+            name = self.all[k][0]
+            d, at = self.best(k, places[k], pairs)
+            if d > found.get(name, (0.0, 0))[0]:
+                found[name] = (d, at)
         return found
 
 
@@ -122,7 +121,6 @@ def _scan(templates: dict[str, tuple[str, ...]], least: float):
         for b in batches:
             out = []
             for text in b.column("t").to_pylist():
-                # a text without a cue word has no passage to compare
                 hits = known.matches(text)
                 out.append([{"licence": n, "dice": d, "first_word": at}
                             for n, (d, at) in sorted(hits.items(), key=lambda x: (-x[1][0], x[0]))])
