@@ -34,8 +34,10 @@ from outcomekit.llm.common import table
 from outcomekit.llm.shingles import mix64, shingle_sets
 
 TRAIN_ROWS = 20_000          # labelled rows used at most, by hash order
-STEMS = 20_000               # candidate stems read by the driver at most
+MAX_STEMS = 200_000          # significant stems, read by the driver; more raise an error
+STEM_BLOCK = 200_000         # distinct stems that a task counts before it hands the counts on
 STEM_CHARS = range(3, 13)    # length of a stem
+LEAST_TOXIC = 3              # toxic documents that a stem needs
 EVIDENCE = 10.0              # log-likelihood ratio that a stem needs
 MOST_WEIGHT = 6.0
 MEMO = 400_000
@@ -189,22 +191,38 @@ def _stems_of(text: str) -> set[str]:
     return {w[:n] for w in words for n in STEM_CHARS if n < len(w)} | {w + "$" for w in words if len(w) in STEM_CHARS}
 
 
-def _count_stems(wanted: frozenset[str] | None):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = _stems_of(text)
-                total.update(found if wanted is None else found & wanted)
-        if total:
-            yield pa.record_batch([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], names=["stem", "n"])
-    return count
-
-
-def _counts(texts: DataFrame, wanted: frozenset[str] | None, least: int) -> dict[str, int]:
-    counted = texts.select("t").mapInArrow(_count_stems(wanted), "stem string, n long")
-    top = counted.groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return {r["stem"]: r["n"] for r in top.orderBy(F.desc("n"), "stem").limit(STEMS).collect()}
+def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial document frequencies: stem, toxic documents, clean documents."""
+    def block() -> pa.RecordBatch:
+        stems = list(counts[0].keys() | counts[1].keys())
+        return pa.record_batch([pa.array(stems, pa.string()), *[pa.array([c[s] for s in stems], pa.int64()) for c in (counts[1], counts[0])]],
+                               names=["stem", "a", "b"])
+
+    counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+    for batch in batches:
+        for text, y in zip(batch.column("t").to_pylist(), batch.column("y").to_pylist()):
+            counts[y].update(_stems_of(text))
+            if len(counts[0]) + len(counts[1]) > STEM_BLOCK:
+                yield block()
+                counts = (Counter(), Counter())
+    if counts[0] or counts[1]:
+        yield block()
+
+
+def significant_stems(texts: DataFrame, n_toxic: int, n_clean: int) -> tuple[dict[str, int], dict[str, int]]:
+    """Toxic and clean document frequencies of the stems that pass the tests of
+    ``choose_stems``, which are applied before anything reaches the driver."""
+    counted = (texts.select("t", "y").mapInArrow(_count_stems, "stem string, a long, b long")
+               .groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    base, a, b = n_toxic / (n_toxic + n_clean), F.col("a"), F.col("b")
+    ratio = a * F.log(a / (a + b) / base) + F.when(b > 0, b * F.log(b / (a + b) / (1 - base))).otherwise(0.0)
+    w = F.log((a + 0.5) / (n_toxic + 1)) - F.log((b + 0.5) / (n_clean + 1))
+    # a little below the bounds: choose_stems decides
+    rows = counted.where((a >= LEAST_TOXIC) & (ratio >= EVIDENCE - 1e-6) & (w >= 1.0 - 1e-6)).limit(MAX_STEMS + 1).collect()
+    if len(rows) > MAX_STEMS:
+        raise ValueError(f"more than {MAX_STEMS} significant stems")
+    rows.sort(key=lambda r: r["stem"])
+    return {r["stem"]: r["a"] for r in rows}, {r["stem"]: r["b"] for r in rows}
 
 
 def choose_stems(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -284,10 +302,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         n_toxic, n_clean = n.get((True, 1), 0), n.get((True, 0), 0)
         stems: dict[str, float] = {}
         if n_toxic and n_clean:
-            own = sample.where("part > 0")
-            toxic = _counts(own.where("y = 1"), None, max(3, n_toxic // 500))
-            clean = _counts(own.where("y = 0"), frozenset(toxic), 1)
-            stems = choose_stems(toxic, clean, n_toxic, n_clean)
+            stems = choose_stems(*significant_stems(sample.where("part > 0"), n_toxic, n_clean), n_toxic, n_clean)
         stems = seeds | stems
         # the third that gave no stems calibrates; with few rows, all of them do
         fit_on = sample if min(n.get((False, 1), 0), n.get((False, 0), 0)) < 10 else sample.where("part = 0")

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from outcomekit.llm import licence_scan as lic
+from outcomekit.llm import licence_scan as lic, toxicity as tox
 
 
 # ---- licence scan ---------------------------------------------------------------
@@ -46,3 +47,18 @@ def test_licence_scan_ranges_over_all_passages():
                     words = words or ["x"]
                 text = " ".join(noise(4) + words + noise(4))
                 assert {k: d for k, (d, _) in known.matches(text).items()} == pytest.approx(every_passage(text, 0.8))
+
+
+# ---- toxicity -------------------------------------------------------------------
+
+def test_rare_insults_are_learned_beside_many_common_stems(spark):
+    rng = random.Random(43)
+    ids = [r.id for r in spark.range(3000).where(~tox.held_out(F.col("id")) & (F.pmod(F.xxhash64("id"), F.lit(3)) > 0)).limit(240).collect()]
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(11)) for _ in range(4000)]
+    rows = []
+    for k, i in enumerate(ids):                            # 24 toxic ones; 6 of them hold the rare insult
+        words = rng.sample(vocabulary, 2000) + (["zorgblat"] if k < 6 else [])
+        rows.append((i, " ".join(words), int(k < 24)))
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8).cache()
+    stems = tox.learn(both, both).stems
+    assert any("zorgblat$".startswith(s) for s in stems)
