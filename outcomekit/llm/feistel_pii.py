@@ -83,16 +83,46 @@ def _valid_ssn(n: int) -> bool:
 # ---- formats ------------------------------------------------------------
 
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+TAIL = r"(?![\w@]|[-.]\d)"
+# Where a value may start.  Cards and IBANs are only begun here: their ends are tried by validation.
 PATTERN = re.compile(
     r"(?<![\w.@+-])(?:"
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
-    r"|(?P<iso>\d{4}-\d{2}-\d{2})|(?P<dmy>\d{1,2}[./]\d{1,2}[./]\d{4})"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})"
-    r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3})"
-    r"|(?P<phone>(?:\+\d{1,2} ?)?\(\d{3}\) ?\d{3}-\d{4}|\+\d{1,2}[ -]\d{3}[ -]\d{3}[ -]\d{4}|\d{3}-\d{3}-\d{4})"
-    r"|(?P<card>\d(?:[ -]?\d){12,18})"
-    r")(?![\w@]|[-.]\d)")
+    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})" + TAIL +
+    r"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2})"
+    r"|(?P<iso>\d{4}-\d{2}-\d{2})(?:(?=[Tt]\d{2}(?::?\d{2}|\b))|" + TAIL + r")"
+    r"|(?P<dmy>\d{1,2}[./]\d{1,2}[./]\d{4})" + TAIL +
+    r"|(?P<ssn>\d{3}-\d{2}-\d{4})" + TAIL +
+    r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3})" + TAIL +
+    r"|(?P<phone>(?:\+\d{1,2} ?)?\(\d{3}\) ?\d{3}-\d{4}|\+\d{1,2}[ -]\d{3}[ -]\d{3}[ -]\d{4}|\d{3}-\d{3}-\d{4})" + TAIL +
+    r"|(?P<card>\d(?:[ -]?\d){12})"
+    r")")
+CARD = re.compile(r"\d(?:[ -]?\d){12,18}")
+IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+# Characters of an IBAN by country (SWIFT registry)
+IBAN_CHARS = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
+
+
+def _ends(text: str, start: int, run: re.Pattern, least: int, exact: int | None = None) -> Iterator[int]:
+    """Ends of a value at ``start`` at a separator or before other text, longest
+    first: of ``least`` characters without separators, or of ``exact`` ones."""
+    m = run.match(text, start)
+    if not m:
+        return
+    size = sum(c not in " -" for c in m.group())
+    for end in range(m.end(), start, -1):
+        if size < least:
+            return
+        if text[end - 1] in " -":
+            continue
+        after = text[end:end + 2]
+        joined = after[:1].isalnum() or after[:1] in ("_", "@") or (after[:1] == "." and after[1:].isdigit())
+        if not joined and exact in (None, size):
+            yield end
+        size -= 1
 
 
 def _refill(shape: str, digits: str) -> str:
@@ -191,8 +221,7 @@ class Pseudonyms:
             out.append(k)
         return "".join(reversed(out)) + v[v.index("@"):]
 
-    def of(self, match: re.Match) -> tuple[str, str] | None:
-        value, form = match.group(), match.lastgroup
+    def of(self, form: str, value: str) -> tuple[str, str] | None:
         if (form, value) not in self.memo:
             if len(self.memo) > MEMO:
                 self.memo.clear()
@@ -201,20 +230,35 @@ class Pseudonyms:
             self.memo[form, value] = (kind, new) if new is not None else None
         return self.memo[form, value]
 
+    def at(self, text: str, m: re.Match) -> tuple[int, tuple[str, str]] | None:
+        """End, kind and pseudonym of the longest valid value where ``m`` starts."""
+        form, start = m.lastgroup, m.start()
+        if form not in ("card", "iban") and (got := self.of(form, m.group())):
+            return m.end(), got
+        if form == "iban":
+            country = text[start:start + 2]
+            ends = _ends(text, start, IBAN, 15, IBAN_CHARS.get(country))
+        else:
+            form, ends = "card", _ends(text, start, CARD, 13)
+        return next(((end, got) for end in ends if (got := self.of(form, text[start:end]))), None)
 
-def pseudonymise(text: str, known: Pseudonyms) -> tuple[str, dict[str, int], list[str]]:
-    """The text with pseudonyms, counts by kind, and the pseudonyms in order."""
-    counts, made = dict.fromkeys(KINDS, 0), []
 
-    def put(m: re.Match) -> str:
-        got = known.of(m)
+def pseudonymise(text: str, known: Pseudonyms) -> tuple[str, dict[str, int], list[str]]:
+    """The text with pseudonyms, counts by kind, and the pseudonyms in order.
+    Where nothing valid starts, the search goes on at the next character."""
+    counts, made, out = dict.fromkeys(KINDS, 0), [], []
+    done = at = 0
+    while m := PATTERN.search(text, at):
+        got = known.at(text, m)
         if got is None:
-            return m.group()
-        counts[got[0]] += 1
-        made.append(got[1])
-        return got[1]
-
-    return PATTERN.sub(put, text), counts, made
+            at = m.start() + 1
+            continue
+        end, (kind, new) = got
+        counts[kind] += 1
+        made.append(new)
+        out += text[done:m.start()], new
+        done = at = end
+    return "".join(out) + text[done:], counts, made
 
 
 def _apply(key: bytes):

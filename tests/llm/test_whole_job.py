@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from outcomekit.llm import licence_scan as lic, toxicity as tox
+from outcomekit.llm import feistel_pii as pii, licence_scan as lic, toxicity as tox
 
 
 # ---- licence scan ---------------------------------------------------------------
@@ -62,3 +62,35 @@ def test_rare_insults_are_learned_beside_many_common_stems(spark):
     both = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8).cache()
     stems = tox.learn(both, both).stems
     assert any("zorgblat$".startswith(s) for s in stems)
+
+
+# ---- pseudonyms -----------------------------------------------------------------
+
+@pytest.mark.parametrize("value, text, kind", [
+    ("4111 1111 1111 1111", "pay {} 123 now", "card"),
+    ("4111 1111 1111 1111", "pay {} 12/27", "card"),
+    ("4111-1111-1111-1111", "pay {}-2024, 3 items", "card"),
+    ("4111-1111-1111-1111", "pay {}-20240101 x", "card"),
+    ("4111 1111 1111 1111", "order 7731 {}", "card"),
+    ("4111111111111111", "{} 4000 0000", "card"),
+    ("ES91 2100 0418 4502 0005 1332", "to {} OK", "iban"),
+    ("ES91 2100 0418 4502 0005 1332", "to {} 2024 PAID NOW", "iban"),
+    ("GB82 WEST 1234 5698 7654 32", "to {} EUR 500", "iban"),
+    ("NO93 8601 1117 947", "{} NOK", "iban"),
+    ("2024-02-29", "at {}T10:00:00Z", "date"),
+    ("2024-02-29", "at {}T10:00", "date"),
+    ("2024-02-29", "at {}T1000", "date"),
+])
+def test_values_beside_other_text_are_replaced(value, text, kind):
+    known = pii.Pseudonyms(b"key")
+    got, counts, made = pii.pseudonymise(text.format(value), known)
+    form = "iso" if kind == "date" else kind
+    assert got == text.format(getattr(known, form)(value)) and value not in got
+    assert counts[kind] == 1 and len(made) == 1
+
+
+def test_text_without_valid_values_stays():
+    known = pii.Pseudonyms(b"key")
+    for text in ("4111 1111 1111 1112 and 1234 5678 9012 3456 7890 1", "2023-02-29T10:00", "ES91 2100 0418 4502 0005 1333 OK",
+                 "4111111111111111x", "1 " * 500, "ISO 2024-02-29Tuesday"):
+        assert pii.pseudonymise(text, known)[0] == text
