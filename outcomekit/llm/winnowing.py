@@ -1,11 +1,15 @@
 """Document fingerprints by winnowing (operator 3), in DataFrame functions only.
 
-A text is read as pieces of at most four characters, cut anew at white space,
-so an edit shifts pieces inside its own word only.  The hash of ``K``
-neighbouring pieces rolls over the text (cyclic polynomial: rotate and XOR).
-In every window of ``W`` such hashes the smallest one is marked, the rightmost
-of equal ones; marks keep their position.  Two texts that share a run of
-``W + K - 1`` pieces share a mark.
+A text is read as pieces of at most four characters, cut anew at white space.
+A run of at most ``WORD`` characters without white space is tiled by pieces, so
+an edit shifts pieces inside its own word only.  In a longer run (text without
+spaces, code, URLs) a piece starts at every character, so equal text has equal
+pieces at any offset.  The hash of ``K`` neighbouring pieces rolls over the text
+(cyclic polynomial: rotate and XOR).  In every window of ``W`` such hashes the
+smallest one is marked, the rightmost of equal ones; marks keep the character
+at which they start.  Two texts that share ``W + K - 1`` neighbouring pieces
+share a mark: so do two texts that share a passage with so many pieces in whole
+words, or in parts of long runs.
 
 Hash and position are packed in one long, (hash << 32) + (MAX - position), so
 that the smallest long is the smallest hash, rightmost.  Window minima come
@@ -19,7 +23,12 @@ from pyspark.sql import functions as F
 
 from outcomekit.llm.common import table
 
-PIECE = r"[^\x20\x09-\x0D]{1,4}"
+RUN = r"([^\x20\x09-\x0D]+)"
+# for each character of a text: itself where a run starts, else empty
+RUN_START = r"(?s)(?=((?:^|(?<=[\x20\x09-\x0D]))[^\x20\x09-\x0D])?)."
+PIECE = 4                    # characters in a piece
+WORD = 16                    # characters of a run without white space that is still tiled
+TILED, EVERYWHERE = r"(?s)(.{1,4})", r"(?s)(?=(.{4}))."
 K = 3                        # pieces in a hash
 W = 8                        # hashes in a window, a power of two
 MAX = 0x7FFFFFFF
@@ -36,16 +45,25 @@ def _pairwise_min(a: Column, step: int) -> Column:
 def with_marks(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: the packed marks of ``text`` in text order (null or blank:
     none; a text of fewer than ``K`` pieces has the hash of all of them)."""
-    p, h, g = f"{out}_p", f"{out}_h", f"{out}_g"
-    df = df.withColumn(p, F.transform(F.regexp_extract_all(F.col(text), F.lit(f"({PIECE})")), lambda x: F.xxhash64(x)))
+    r, s, p, q, g = (f"{out}_{c}" for c in "rspqg")
+    df = df.withColumn(r, F.regexp_extract_all(F.col(text), F.lit(RUN)))
+    df = df.withColumn(s, F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(RUN_START)),
+                                               lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull()))
+    pieces = lambda x: F.when(F.length(x) <= WORD, F.regexp_extract_all(x, F.lit(TILED))) \
+        .otherwise(F.regexp_extract_all(x, F.lit(EVERYWHERE)))                                # noqa: E731
+    starts = lambda x, at: F.when(F.length(x) <= WORD, F.sequence(at, at + F.length(x) - 1, F.lit(PIECE))) \
+        .otherwise(F.sequence(at, at + F.length(x) - PIECE, F.lit(1)))                        # noqa: E731
+    df = df.withColumn(p, F.transform(F.flatten(F.transform(r, pieces)), lambda x: F.xxhash64(x)))
+    df = df.withColumn(q, F.flatten(F.zip_with(r, s, starts)))
     n = F.size(p)
     rolled = F.transform(
         F.slice(p, F.lit(1), F.greatest(n - (K - 1), F.lit(0))),
-        lambda x, i: F.shiftleft(
-            ((F.shiftleft(x, 2).bitwiseXOR(F.shiftrightunsigned(x, 62)))
-             .bitwiseXOR(F.shiftleft(F.get(p, i + 1), 1)).bitwiseXOR(F.shiftrightunsigned(F.get(p, i + 1), 63))
-             .bitwiseXOR(F.get(p, i + 2)).bitwiseAND(F.lit(MAX))), 32) + (F.lit(MAX).cast("long") - i))
-    short = F.array(F.shiftleft(F.xxhash64(p).bitwiseAND(F.lit(MAX)), 32) + F.lit(MAX).cast("long"))
+        lambda x, i: (F.shiftleft(x, 2).bitwiseXOR(F.shiftrightunsigned(x, 62)))
+        .bitwiseXOR(F.shiftleft(F.get(p, i + 1), 1)).bitwiseXOR(F.shiftrightunsigned(F.get(p, i + 1), 63))
+        .bitwiseXOR(F.get(p, i + 2)).bitwiseAND(F.lit(MAX)))
+    rolled = F.zip_with(rolled, F.slice(q, F.lit(1), F.greatest(n - (K - 1), F.lit(0))),
+                        lambda x, at: F.shiftleft(x, 32) + (F.lit(MAX).cast("long") - at))
+    short = F.array(F.shiftleft(F.xxhash64(p).bitwiseAND(F.lit(MAX)), 32) + (F.lit(MAX).cast("long") - F.get(q, F.lit(0))))
     df = df.withColumn(g, F.when(n == 0, F.array().cast("array<bigint>")).when(n < K, short).otherwise(rolled))
     level, name = 1, g
     while level < W:
@@ -62,7 +80,7 @@ def hashes(marks: str | Column) -> Column:
 
 
 def positions(marks: str | Column) -> Column:
-    """Piece number of each mark, from 0."""
+    """Character at which each mark starts, from 0."""
     return F.transform(marks, lambda v: (F.lit(MAX) - v.bitwiseAND(F.lit(0xFFFFFFFF))).cast("int"))
 
 

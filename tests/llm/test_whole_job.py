@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from outcomekit.llm import feistel_pii as pii, licence_scan as lic, toxicity as tox
+from outcomekit.llm import feistel_pii as pii, licence_scan as lic, mixing, toxicity as tox, winnowing
 
 
 # ---- licence scan ---------------------------------------------------------------
@@ -94,3 +94,31 @@ def test_text_without_valid_values_stays():
     for text in ("4111 1111 1111 1112 and 1234 5678 9012 3456 7890 1", "2023-02-29T10:00", "ES91 2100 0418 4502 0005 1333 OK",
                  "4111111111111111x", "1 " * 500, "ISO 2024-02-29Tuesday"):
         assert pii.pseudonymise(text, known)[0] == text
+
+
+# ---- winnowing ------------------------------------------------------------------
+
+def test_passages_without_spaces_share_marks_at_any_offset(spark):
+    rng = random.Random(47)
+    make = lambda n: "".join(rng.choice("的一是不了人我在有他这中大来上国个到说们") for _ in range(n))     # noqa: E731
+    passage, base = make(60), make(400)
+    texts = [base, *[make(40 + k) + passage + make(30) for k in range(4)], base[:1] + "x" + base[1:], "a  😀 " + base]
+    rows = winnowing.with_marks(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "t", "f").select(
+        "i", winnowing.hashes("f").alias("h"), winnowing.positions("f").alias("at")).orderBy("i").collect()
+    marks = [dict(zip(r.h, r.at)) for r in rows]
+    for k in range(1, 5):
+        shared = set(marks[1]) & set(marks[k])
+        assert shared and all(marks[k][h] - marks[1][h] == k - 1 for h in shared)
+    for k, shift in ((5, 1), (6, 5)):
+        both = set(marks[0]) & set(marks[k])
+        assert len(both) >= 0.9 * len(set(marks[0]) | set(marks[k]))
+        assert all(marks[k][h] == marks[0][h] + shift for h in both if marks[0][h] > 0)
+
+
+def test_marks_keep_their_character(spark):
+    text = " the  quick\nbrown fox jumps over thelazydogwithoutanyspace at\t😀 noon, then sleeps  "
+    r = winnowing.with_marks(spark.createDataFrame([(text,)], "t string"), "t", "f").first()
+    assert [text[at:at + 4].split()[0] for at in r.f_q] == [
+        "the", "quic", "k", "brow", "n", "fox", "jump", "s", "over",
+        *["thelazydogwithoutanyspace"[k:k + 4] for k in range(22)], "at", "😀", "noon", ",", "then", "slee", "ps"]
+    assert set(winnowing.MAX - (v & 0xFFFFFFFF) for v in r.f) <= set(r.f_q)
