@@ -4,8 +4,9 @@ Documents are hashed to shards of a bounded number of rows.  Each shard's
 words are cut into blocks of equal length; the shard's blocks go to sources by
 highest quotients target / (2 j + 1), where a source's target in the shard is
 its share of the source's whole target.  The quota of a (shard, source) cell
-is met with whole passes over the cell's blocks and one seeded selection of
-blocks for the rest, so a document's take is the words of its chosen blocks.
+is met with whole passes over the cell's documents; the rest is the first
+blocks of the cell's documents in a seeded order, so that documents are kept or
+dropped whole, apart from one in a cell, of which the beginning is kept.
 
 Only (id, source, size) rows are shuffled; a hot source is spread over all
 shards, and the running totals that place documents in blocks are per cell.
@@ -80,25 +81,14 @@ def _shard_quotas(block: int):
     return quotas
 
 
-def _multiplier(n: F.Column) -> F.Column:
-    """A multiplier near n / golden ratio that has no factor in common with n
-    (the odd offsets tried cover every n below 2**31)."""
-    start = F.greatest(F.lit(1).cast("long"), (n * F.lit(0.6180339887)).cast("long"))
-    tries = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: start + k)
-    common = lambda x: F.aggregate(                                                       # noqa: E731
-        F.sequence(F.lit(1), F.lit(48)), F.struct(x.alias("a"), n.alias("b")),
-        lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), (s["a"] % F.when(s["b"] == 0, 1).otherwise(s["b"])).alias("b"))),
-        lambda s: s["a"])
-    return F.element_at(F.filter(tries, lambda x: common(x) == 1), 1)
-
-
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block: int = BLOCK_WORDS, rows_per_shard: int = ROWS_PER_SHARD, seed: int = SEED,
         weights: tuple[int, ...] = WEIGHTS, ceiling: int = CEILING, columns: list[str] | None = None) -> DataFrame:
     """One row per input row: ``columns`` (default: the id), ``size``,
     ``source_size``, ``target``, ``taken`` and, for callers that cut texts,
     ``passes`` (times all words are taken) and ``extra`` (first and last word
-    number, from 1, of each block taken once more).
+    number, from 1, of what is taken once more: the whole document, its
+    beginning, or no entry).
 
     Null sources form one source (last in order); null or blank texts have size
     0 and take nothing; repeated rows are separate documents.  The same input
@@ -140,22 +130,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .withColumn("passes", F.when(F.col("_words") > 0, F.least(F.lit(ceiling), F.floor(F.col("_quota") * block / F.col("_words")))).otherwise(0))
              .withColumn("_rest", F.round((F.col("_quota") * block - F.col("passes") * F.col("_words")) / block).cast("long"))
              .select("_shard", "_sid", "_blocks", "passes",
-                     F.when(F.col("passes") < ceiling, F.greatest(F.lit(0), F.least("_rest", "_blocks"))).otherwise(0).alias("_more"),
-                     _multiplier(F.greatest(F.col("_blocks"), F.lit(1))).alias("_mul")))
+                     F.when(F.col("passes") < ceiling, F.greatest(F.lit(0), F.least("_rest", "_blocks"))).otherwise(0).alias("_more")))
     cells = written(cells, "mix-quotas")
     placed = sized.join(plan, same(sized, plan)).drop(plan["_source"])
-    w = Window.partitionBy("_shard", "_sid").orderBy(F.col("_id").asc_nulls_last(), "_tie")
+    w = Window.partitionBy("_shard", "_sid").orderBy(F.xxhash64(F.lit(seed + 1), "_id", "_tie"), F.col("_id").asc_nulls_last(), "_tie")
     before = F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("_from", F.coalesce(before, F.lit(0)))
     placed = placed.join(cells, ["_shard", "_sid"])
-    # block j of the cell is taken once more when its place in a seeded full cycle is among the first _more
-    shift = F.pmod(F.xxhash64(F.lit(seed), "_shard", "_sid"), F.col("_blocks"))
-    chosen = lambda j: F.pmod(j * F.col("_mul") + shift, F.col("_blocks")) < F.col("_more")
-    span = lambda j: F.struct(                                                            # noqa: E731
-        (F.greatest(j * block, F.col("_from")) - F.col("_from") + 1).alias("first"),
-        (F.least((j + 1) * block, F.col("_from") + F.col("size")) - F.col("_from")).alias("last"))
-    touched = F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_from") + F.col("size") - 1) / block))
-    extra = F.when((F.col("size") > 0) & (F.col("_more") > 0), F.transform(F.filter(touched, chosen), span))
+    # the cell's first _more blocks are taken once more: whole documents, then the beginning of one
+    last = F.least(F.col("size"), F.col("_more") * block - F.col("_from"))
+    extra = F.when((F.col("size") > 0) & (last > 0), F.array(F.struct(F.lit(1).cast("long").alias("first"), last.cast("long").alias("last"))))
     placed = placed.withColumn("extra", F.coalesce(extra, F.array().cast("array<struct<first:bigint,last:bigint>>")))
     words = F.aggregate("extra", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"] + 1)
     return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)], "size", "source_size", "target",
@@ -169,14 +153,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus: every whole pass over a document is one row with its
-    whole text; the words of the blocks taken once more are one further row,
-    joined by single spaces.  ``n_chars`` follows the text."""
+    whole text; what is taken once more is one further row, the whole text or
+    its beginning with its white space.  ``n_chars`` follows the text."""
     out = mix(docs, columns=docs.columns)
-    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
-    picked = F.array_join(F.flatten(F.transform("extra", lambda x: F.slice(
-        "_w", x["first"].cast("int"), (x["last"] - x["first"] + 1).cast("int")))), " ")
-    part = F.when((F.size("extra") > 0), picked)
-    out = out.withColumn("_w", F.when(F.size("extra") > 0, words))
+    last = F.get("extra", F.lit(0))["last"].cast("int")
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"))
+    part = F.when(F.size("extra") == 0, F.lit(None)).when(last >= F.col("size"), F.col("text")) \
+        .otherwise(F.array_join(F.slice(words, F.lit(1), last), ""))
     copies = F.concat(F.array_repeat(F.col("text"), F.col("passes").cast("int")),
                       F.filter(F.array(part), lambda x: x.isNotNull()))
     cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")]

@@ -122,3 +122,17 @@ def test_marks_keep_their_character(spark):
         "the", "quic", "k", "brow", "n", "fox", "jump", "s", "over",
         *["thelazydogwithoutanyspace"[k:k + 4] for k in range(22)], "at", "😀", "noon", ",", "then", "slee", "ps"]
     assert set(winnowing.MAX - (v & 0xFFFFFFFF) for v in r.f) <= set(r.f_q)
+
+
+# ---- mixing ---------------------------------------------------------------------
+
+def test_mixing_keeps_documents_whole(spark):
+    text = lambda i: "\n".join(f"w{i}.{k}  x" for k in range(20 + i % 40))                     # noqa: E731
+    rows = [(i, text(i), "bcd"[i % 3] if i % 4 == 0 else "c") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.mix(df, columns=["doc_id", "source"], rows_per_shard=100).collect()
+    assert any(r.target < r.source_size and r.passes == 0 for r in taken)
+    out = mixing.stage(spark, df, "").collect()            # one shard: a cell for each source
+    cut = [r for r in out if r.text != text(r.doc_id)]
+    assert len(cut) <= 3 and len(out) > 100
+    assert all(text(r.doc_id).startswith(r.text) for r in cut)
