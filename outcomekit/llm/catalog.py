@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcomekit.llm import (content_sort, feistel_pii, licence_scan, mixing, ordinal_quality, packing,
-                            parity_join, repair_tokens, toxicity, winnowing)
+from outcomekit.llm import (concat_cut, content_sort, feistel_pii, filter_audit, licence_scan, mixing,
+                            ordinal_quality, packing, parity_join, repair_tokens, toxicity, vertical_scan, winnowing)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
@@ -20,5 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repair_tokens": repair_tokens.query,
     "op9_sainte_lague_mix": mixing.query,
     "op10_content_sort_dedup": content_sort.query,
+    "op11_vertical_scan": vertical_scan.query,
+    "op12_filter_audit": filter_audit.query,
+    "op13_concat_cut": concat_cut.query,
+}
+ORACLE: dict[str, str] = {
+    "op10_content_sort_dedup": content_sort.SQL,
+    "op11_vertical_scan": vertical_scan.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
-ORACLE: dict[str, str] = {"op10_content_sort_dedup": content_sort.SQL}
