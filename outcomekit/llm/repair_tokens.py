@@ -44,7 +44,7 @@ LEAST_SHARE = 1 / 4000       # a pair is frequent if it makes up this share of t
 LEAST_COUNT = 8              # ... and occurs so often at least
 ANCHOR = 1024                # symbols between two anchors
 FIRST_RULE = 1 << 20         # above every id of the vocabularies used
-MEMO = 500_000               # distinct pieces whose ids a worker remembers
+MEMO = 300_000               # distinct pieces in one generation of what a worker remembers
 
 FORMAT = ("part int, seq int, doc_ids binary, no_id binary, n_tokens binary, rules binary, lengths binary, "
           "symbols binary, anchors binary, n_ids long")
@@ -173,9 +173,11 @@ class PieceEncoder(dict):
     A byte-level BPE never merges over the boundary between a non-space and a
     following single space, nor between a letter or digit and a following
     punctuation mark, so a text is the concatenation of its pieces cut there.
-    A piece's ids are asked from the library once and remembered (this is the
+    A piece's ids are asked from the library and remembered (this is the
     mapping piece -> ids; None: the piece has white space at an end and needs
-    its neighbours).  A purely alphabetic piece is one word of the vocabulary's
+    its neighbours).  Memory is kept in two generations: a full one becomes the
+    older one, and what is asked for again moves on into the new one, so common
+    pieces stay and the memory stays bounded.  A purely alphabetic piece is one word of the vocabulary's
     pre-tokenizer and goes to the library's BPE model directly; a text with a
     space beside other white space goes to the library whole.
     """
@@ -189,6 +191,9 @@ class PieceEncoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.model, self.letters = self.tok.model, _byte_letters()
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old: dict[str, bytes | None] = {}
+        self["\n"] = self._word("\n")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -196,27 +201,38 @@ class PieceEncoder(dict):
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            if word.isalpha() or (word[0] == " " and word[1:].isalpha()):
+            ids = self.old_words.get(word)
+            if ids is not None:
+                pass
+            elif word.isalpha() or (word[0] == " " and word[1:].isalpha()):
                 written_as = word.encode().decode("latin-1").translate(self.letters)
                 ids = array("I", [t.id for t in self.model.tokenize(written_as)]).tobytes()
             else:
                 ids = self._encode([word])[0]
-            if len(self.words) > MEMO:
-                self.words.clear()
+            if len(self.words) >= MEMO:
+                self.words, self.old_words = {}, self.words
             self.words[word] = ids
         return ids
 
     def __missing__(self, piece: str) -> bytes | None:
-        if piece in ("", " ") or piece[-1].isspace() or piece[piece[0] == " "].isspace():
+        if piece in self.old:
+            ids = self.old[piece]
+        elif piece in ("", " ") or piece[-1].isspace() or piece[piece[0] == " "].isspace():
             ids = None
         else:
+            lines = piece.split("\n")
+            if len(lines) > 1 and all(x and not x[-1].isspace() and not x[x[0] == " "].isspace() for x in lines) \
+                    and not any(x[0] == " " for x in lines[1:]):
+                return self["\n"].join([self[x] for x in lines])     # a line end by itself is a word of its own
             core = piece.rstrip(self.MARKS)
             if len(core) < len(piece) and core[-1:].isalnum():
                 ids = self._word(core) + self._word(piece[len(core):])
             else:
                 ids = self._word(piece)
-        if len(self) > MEMO:
+        if len(self) >= MEMO:
+            self.old = dict(self)
             self.clear()
+            self["\n"] = self._word("\n")
         self[piece] = ids
         return ids
 
