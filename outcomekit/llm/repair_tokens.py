@@ -27,6 +27,7 @@ expanding what is before it (``decode_range``).
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -167,22 +168,27 @@ def _byte_letters() -> str:
     return "".join(chr(b) if b in plain else chr(next(spare)) for b in range(256))
 
 
+# Fixed value: what a byte-level pre-tokenizer takes as a word, for ASCII without white space inside
+ASCII_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+", re.ASCII)
+
+
 class PieceEncoder(dict):
     """Encodes whole texts with the tokenizers library.
 
     A byte-level BPE never merges over the boundary between a non-space and a
-    following single space, nor between a letter or digit and a following
-    punctuation mark, so a text is the concatenation of its pieces cut there.
-    A piece's ids are asked from the library and remembered (this is the
-    mapping piece -> ids; None: the piece has white space at an end and needs
-    its neighbours).  Memory is kept in two generations: a full one becomes the
-    older one, and what is asked for again moves on into the new one, so common
-    pieces stay and the memory stays bounded.  A purely alphabetic piece is one word of the vocabulary's
-    pre-tokenizer and goes to the library's BPE model directly; a text with a
-    space beside other white space goes to the library whole.
+    following single space or line end, nor between a letter or digit and a
+    following punctuation mark, so a text is the concatenation of its pieces
+    cut there.  A piece's ids are asked from the library and remembered (this
+    is the mapping piece -> ids; None: the piece has white space at an end and
+    needs its neighbours).  Memory is kept in two generations: a full one
+    becomes the older one, and what is asked for again moves on into the new
+    one, so common pieces stay and the memory stays bounded.  A purely
+    alphabetic piece is one word of the vocabulary's pre-tokenizer and goes to
+    the library's BPE model directly, as do the words of other ASCII pieces; a
+    text with a space beside other white space goes to the library whole.
     """
 
-    MARKS = ".,;:!?|"
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
     def __init__(self, path: str):
         super().__init__()
@@ -190,58 +196,56 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.model, self.letters = self.tok.model, _byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.old: dict[str, bytes | None] = {}
-        self["\n"] = self._word("\n")
+        # white space behind the first character and special tokens are left to the library
+        special = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([r"(?!^)\s", *special]))
+        self.old: dict[str, bytes] = {}
+        self.fixed = {"": b"", "\n": self._encode(["\n"])[0]}
+        self.update(self.fixed)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.old_words.get(word)
-            if ids is not None:
-                pass
-            elif word.isalpha() or (word[0] == " " and word[1:].isalpha()):
-                written_as = word.encode().decode("latin-1").translate(self.letters)
-                ids = array("I", [t.id for t in self.model.tokenize(written_as)]).tobytes()
-            else:
-                ids = self._encode([word])[0]
-            if len(self.words) >= MEMO:
-                self.words, self.old_words = {}, self.words
-            self.words[word] = ids
-        return ids
+        written_as = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(written_as)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes | None:
-        if piece in self.old:
-            ids = self.old[piece]
-        elif piece in ("", " ") or piece[-1].isspace() or piece[piece[0] == " "].isspace():
-            ids = None
-        else:
-            lines = piece.split("\n")
-            if len(lines) > 1 and all(x and not x[-1].isspace() and not x[x[0] == " "].isspace() for x in lines) \
-                    and not any(x[0] == " " for x in lines[1:]):
-                return self["\n"].join([self[x] for x in lines])     # a line end by itself is a word of its own
+        ids = self.old.get(piece)
+        if ids is None:
+            if piece == " " or piece[-1].isspace() or piece[piece[0] == " "].isspace():
+                return None
             core = piece.rstrip(self.MARKS)
-            if len(core) < len(piece) and core[-1:].isalnum():
-                ids = self._word(core) + self._word(piece[len(core):])
-            else:
+            if piece.isalpha() or (piece[0] == " " and piece[1:].isalpha()):
                 ids = self._word(piece)
+            elif self.whole.search(piece):
+                ids = self._encode([piece])[0]
+            elif len(core) < len(piece) and core[-1:].isalnum():
+                ids = self[core] + self[piece[len(core):]]
+            elif piece.isascii():
+                words = ASCII_WORDS.findall(piece)
+                ids = b"".join([self[w] for w in words]) if len(words) > 1 else self._word(piece)
+            else:
+                ids = self._encode([piece])[0]
         if len(self) >= MEMO:
             self.old = dict(self)
             self.clear()
-            self["\n"] = self._word("\n")
+            self.update(self.fixed)
         self[piece] = ids
         return ids
 
+    def _pieces(self, text: str) -> list[str]:
+        text = text.replace(" ", "\0 ")
+        if "\n" in text and "\n\n" not in text:           # a run of line ends may be one word: left in its piece
+            text = text.replace("\n", "\0\n\0")
+        return text.split("\0")
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
         out: list[bytes | None] = []
         for t in texts:
             try:
-                out.append(b"".join(map(self.__getitem__, t.replace(" ", "\0 ").split("\0"))) if "\0" not in t else None)
+                out.append(b"".join(map(self.__getitem__, self._pieces(t))) if "\0" not in t else None)
             except TypeError:                          # a piece that needs its neighbours
                 out.append(None)
         rest = iter(self._encode([t for t, o in zip(texts, out) if o is None]))
