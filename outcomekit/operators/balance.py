@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from outcomekit.config import SMOTE_K, SMOTE_RATIO
 from outcomekit.functions.expr import hash_unit
 from outcomekit.functions.prefix import running_totals
+from outcomekit.operators.lsh import LshPlan, knn_lsh
 from outcomekit.operators.neighbours import knn
 
 
@@ -55,9 +56,13 @@ def smote_target(n_min: int, n_maj: int, ratio: float) -> int:
 
 def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
           ratio: float = SMOTE_RATIO, k: int = SMOTE_K, minority: int = 1,
-          adaptive_k: bool = False) -> tuple[DataFrame, DataFrame]:
+          adaptive_k: bool = False, plan: LshPlan | None = None) -> tuple[DataFrame, DataFrame]:
     """B1 / B2: returns (resampled rows, neighbour table).
 
+    With a ``plan`` neighbours come from ``lsh.knn_lsh``; a row for which fewer
+    than k were found takes its neighbour among those, and a row without any
+    is copied, so the number of synthetic rows is the same.
+
     Resampled = originals (``is_synthetic`` false) union synthetic rows; a
     synthetic row keeps its seed row's key, label and a ``sample_idx``."""
     counts = class_counts(df, label)
@@ -72,7 +77,10 @@ def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
     if n_syn == 0 or n_min < 2 or k < 1:
         return orig, df.sparkSession.createDataFrame([], f"{key} long, nn_id long, dist double, nn_rank int")
     mins = df.where(F.col(label) == minority)
-    nn = knn(mins, mins, key, key, features, k, exclude_self=True)
+    if plan is None:
+        nn = knn(mins, mins, key, key, features, k, exclude_self=True)
+    else:
+        nn = knn_lsh(mins, mins, key, key, features, k, plan, exclude_self=True)
 
     # each minority row seeds floor((j+1) S / M) - floor(j S / M) rows, j = its
     # position in md5 order: exactly S in total, spread evenly
@@ -88,7 +96,10 @@ def smote(df: DataFrame, features: list[str], key: str, label: str = "label",
     samples = samples.withColumn(
         "nn_rank", (F.floor(hash_unit(F.col(key), F.col("sample_idx"), F.lit("nn")) * k) + 1).cast("int")) \
         .withColumn("_lam", hash_unit(F.col(key), F.col("sample_idx"), F.lit("lam")))
-    pairs = samples.join(nn.select(key, "nn_rank", "nn_id"), [key, "nn_rank"])
+    if plan is not None:
+        have = nn.groupBy(key).agg(F.max("nn_rank").alias("_have"))
+        samples = samples.join(have, key, "left").withColumn("nn_rank", F.pmod(F.col("nn_rank") - 1, F.col("_have")) + 1).drop("_have")
+    pairs = samples.join(nn.select(key, "nn_rank", "nn_id"), [key, "nn_rank"], "left").withColumn("nn_id", F.coalesce("nn_id", key))
     seed = mins.select(key, label, *[F.col(f"`{f}`").alias(f) for f in features])
     other = mins.select(F.col(key).alias("nn_id"), *[F.col(f"`{f}`").alias(f"_n_{f}") for f in features])
     syn = pairs.join(seed, key).join(other, "nn_id").select(

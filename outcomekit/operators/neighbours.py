@@ -61,29 +61,44 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: list[str
     ``query`` and ``ref`` carry an id column and the numeric ``features``.
     With ``exclude_self`` a query id never matches the same reference id.
 
-    Copies are collapsed first: the reference side becomes one row per
-    distinct vector with its smallest k+1 ids (``row_number <= k+1`` per
-    vector — Spark keeps a partial top-(k+1) per map task, so a vector copied
-    a third of the time shuffles a few rows).  The top-k rows by (distance,
-    id) come from the first k+1 distinct vectors by (distance, smallest id),
-    so the grid search runs on distinct vectors and the answer is expanded
-    back from at most (k+1)^2 candidates per query row."""
-    kd = k + 1 if exclude_self else k
-    feats = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
-    copies = ref.select(F.col(rid).alias("_id"), *feats)
-    wv = Window.partitionBy(*features).orderBy("_id")
-    firsts = copies.withColumn("_c", F.row_number().over(wv)).where(F.col("_c") <= k + 1)
-    distinct = firsts.groupBy(*features).agg(F.min("_id").alias("_rep"),
-                                             F.array_sort(F.collect_list("_id")).alias("_ids"))
-    distinct = distinct.cache()
-    near = _knn_unique(query, distinct, qid, "_rep", features, kd, rows_per_cell, axes)
-    ids = distinct.select("_rep", "_ids")
-    exp = near.join(ids, near["nn_id"] == ids["_rep"]).select(
-        F.col(qid).alias("_q"), "dist", F.explode("_ids").alias("_nid"))
+    Copies are collapsed first, on both sides: the reference side becomes one
+    row per distinct vector with its smallest k+1 ids (``row_number <= k+1``
+    per vector — Spark keeps a partial top-(k+1) per map task, so a vector
+    copied a third of the time shuffles a few rows).  The top-k rows by
+    (distance, id) come from the first k+1 distinct vectors by (distance,
+    smallest id), so the grid search runs on distinct vectors and the answer
+    is expanded back from at most (k+1)^2 candidates per query row."""
+    q, mine = collapsed(query, qid, features, 1)
+    r, theirs = collapsed(ref, rid, features, k + 1)
+    near = _knn_unique(q, r, "_rep", "_rep", features, k + 1 if exclude_self else k, rows_per_cell, axes)
+    near = near.select(F.col("_rep").alias("_qid"), F.col("nn_id").alias("_rid"), "dist")
+    return expanded(near, mine, theirs, qid, k, exclude_self)
+
+
+def collapsed(df: DataFrame, key: str, features: list[str], most: int) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct vector, ``_rep`` (its smallest id) and the features;
+    and ``_rep, _id``: the vector's smallest ``most`` ids (1: all its ids)."""
+    rows = df.select(F.col(key).alias("_id"), *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    distinct = rows.groupBy(*features).agg(F.min("_id").alias("_rep"))
+    vector = Window.partitionBy(*features)
+    if most > 1:
+        ids = rows.withColumn("_c", F.row_number().over(vector.orderBy("_id"))).where(F.col("_c") <= most)
+        ids = ids.withColumn("_rep", F.min("_id").over(vector))
+    else:
+        # a null never meets a null in a join on equality
+        same = [F.col(f"l.{f}").eqNullSafe(F.col(f"d.{f}")) for f in features]
+        ids = rows.alias("l").join(distinct.alias("d"), same)
+    return distinct.select("_rep", *features), ids.select("_rep", "_id")
+
+
+def expanded(near: DataFrame, mine: DataFrame, theirs: DataFrame, qid: str, k: int, exclude_self: bool) -> DataFrame:
+    """Neighbours of distinct vectors (``_qid, _rid, dist``) as neighbours of
+    all query rows, ranked by (distance, id)."""
+    out = near.join(theirs.toDF("_rid", "_nid"), "_rid").join(mine.toDF("_qid", "_q"), "_qid")
     if exclude_self:
-        exp = exp.where(F.col("_q") != F.col("_nid"))
+        out = out.where(F.col("_q") != F.col("_nid"))
     w = Window.partitionBy("_q").orderBy("dist", "_nid")
-    top = exp.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    top = out.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
     return top.select(F.col("_q").alias(qid), F.col("_nid").alias("nn_id"), "dist",
                       F.col("nn_rank").cast("int").alias("nn_rank"))
 
@@ -139,7 +154,13 @@ def _knn_unique(query: DataFrame, ref: DataFrame, qid: str, rid: str, features:
     # the k-th distance is a valid bound only when k candidates were seen
     bound = best.groupBy("_qid").agg(F.count(F.lit(1)).alias("_c"), F.max("_d").alias("_m")) \
         .select("_qid", F.when(F.col("_c") == k, F.col("_m")).alias("_r"))
-    qr = q.join(bound, "_qid", "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
+    # where fewer than k candidates were seen: any k reference rows bound the k-th distance, here k near the middle
+    middle = r.agg(*[F.avg(f"_rp{i}") for i in range(m)]).first()
+    away = _sum([(F.col(f"_rp{i}") - F.lit(middle[i] or 0.0)) ** 2 for i in range(m)])
+    some = r.orderBy(away, "_rid").limit(k).select(*[f"_r{j}" for j in range(d)]).collect()
+    ways = [F.sqrt(_sum([(F.col(f"_q{j}") - F.lit(row[j])) ** 2 for j in range(d)])) for row in some]
+    farthest = F.greatest(*ways) if len(ways) > 1 else ways[0] if ways else F.lit(0.0)
+    qr = q.join(bound, "_qid", "left").withColumn("_r", F.coalesce(F.col("_r"), farthest))
     slack = F.col("_r") * (1 + 1e-9) + F.lit(1e-9)  # rounding room for the projections
     for i in range(m):
         qr = qr.withColumn(f"_lo{i}", F.col(f"_qp{i}") - slack).withColumn(f"_hi{i}", F.col(f"_qp{i}") + slack)
