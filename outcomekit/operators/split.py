@@ -62,12 +62,12 @@ def anti_join_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, col: str = "fold") -> DataFrame:
     """Within each label class, rows ordered by md5(key) are dealt to
-    folds 0, 1, ..., k-1 in turn, so each fold keeps the class balance.
+    folds 0, 1, ..., k-1 in turn, so each fold keeps the class balance.  Rows
+    that share a key are dealt one by one: none is lost or repeated.
 
     The class is a huge group, so the position is a range-bucketed running
     count (``functions.prefix``), not one window over the class."""
     from outcomekit.functions.prefix import running_totals
-    keyed = df.select(key, label).withColumn("_o", _hash_order(key)).withColumn("_one", F.lit(1))
+    keyed = df.withColumn("_o", _hash_order(key)).withColumn("_one", F.lit(1))
     ranked = running_totals(keyed, "_o", ["_one"], by=[label], descending=False, tiebreak=[key])
-    folds = ranked.select(key, ((F.col("cum__one") - 1) % k).cast("int").alias(col))
-    return df.join(folds, key)
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], ((F.col("cum__one") - 1) % k).cast("int").alias(col))

@@ -117,9 +117,12 @@ def prepare_training(train: DataFrame, features: list[str], spec: LearnerSpec, k
 
 
 def fit_learner(name: str, train: DataFrame, features: list[str], key: str = "stay_id",
-                label: str = "label") -> PipelineModel:
+                label: str = "label", overrides: dict | None = None) -> PipelineModel:
+    """``overrides`` replace parameters of the preset; ``pos_weight`` that of its balance."""
     kind, spec = LEARNERS[name]
-    params = dict(spec.params)
+    params = {**spec.params, **(overrides or {})}
+    if "pos_weight" in params:
+        spec = LearnerSpec(spec.name, spec.balance, params.pop("pos_weight"))
     if kind == "logistic":
         # scikit-learn C = 1 on a summed loss ~ regParam 1/n on Spark's mean loss
         params.setdefault("regParam", 1.0 / max(1, train.count()))

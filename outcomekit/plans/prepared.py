@@ -23,9 +23,9 @@ TIME_FEATURES = ["admit_year", "admit_month", "admit_day", "admit_hour", "admit_
 CANDIDATE_FEATURES = COHORT_FEATURES + TIME_FEATURES
 
 
-def prepared_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+def prepared_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES, outcome: str = "urgent") -> DataFrame:
     """Cohort with negatives clamped, time parts, ``split`` and double features."""
-    c = build_cohort(spark, sf_dir, roles)
+    c = build_cohort(spark, sf_dir, roles, outcome)
     c = prep.clamp_columns(c, ["balance"])
     c = prep.add_time_parts(c, roles.time)
     c = group_split(c, roles.subject)
@@ -54,12 +54,12 @@ def _local(small: DataFrame) -> DataFrame:
 
 def prepare(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES,
             threshold: float = MISSING_THRESHOLD, strategy: str = "median",
-            fit_on: str = "train") -> Prepared:
+            fit_on: str = "train", outcome: str = "urgent") -> Prepared:
     """``fit_on="train"`` fits missing rates and fills on the training split
     only; ``fit_on="all"`` reproduces fitting on every row (leaks test rows)."""
     # read three times (missing rates, fill values, apply): keep it cached
     # (MEMORY_AND_DISK; a lost block is recomputed from lineage)
-    c = prepared_cohort(spark, sf_dir, roles).cache()
+    c = prepared_cohort(spark, sf_dir, roles, outcome).cache()
     train = c.where(F.col("split") == "train") if fit_on == "train" else c
     # fitted tables have one row per feature: pull them once and keep them as
     # local relations (no cache entries that every later plan is matched against)

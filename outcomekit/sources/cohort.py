@@ -24,11 +24,14 @@ COHORT_FEATURES = ["balance", "total", "qty_min", "qty_max", "qty_range",
                    "price_min", "price_max", "price_range", "disc_mean", "rare_qty"]
 
 
+MANY_LINES = 4
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def build_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+def build_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES, outcome: str = "urgent") -> DataFrame:
     # NaN and NA tokens become NULL at the scan, so every later step skips them
     orders = normalise_nulls(driver_table(spark, sf_dir, "orders"))
     lines = normalise_nulls(driver_table(spark, sf_dir, "lineitem"))
@@ -44,6 +47,7 @@ def build_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES)
             F.max("l_extendedprice").alias("price_max"),
             F.avg("l_discount").alias("disc_mean"),
             F.max(F.when(rare, F.col("l_quantity"))).alias("rare_qty"),
+            F.count("*").alias("n_lines"),
         )
         .withColumn("qty_range", F.col("qty_max") - F.col("qty_min"))
         .withColumn("price_range", F.col("price_max") - F.col("price_min"))
@@ -54,12 +58,14 @@ def build_cohort(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT_ROLES)
         F.col("o_orderkey").alias(roles.stay),
         F.col("o_custkey").alias(roles.subject),
         F.col("o_orderdate").alias(roles.time),
-        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias(roles.label),
+        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("_urgent"),
         F.col("o_totalprice").alias("total"),
     )
+    # the outcome: an urgent order, or one of more than MANY_LINES lines (which the features tell something about)
+    label = {"urgent": F.col("_urgent"), "many_lines": (F.coalesce("n_lines", F.lit(0)) > MANY_LINES).cast("int")}[outcome]
     return (
         o.join(per_order, o[roles.stay] == per_order["l_orderkey"], "left")
         .join(cust, o[roles.subject] == cust["c_custkey"], "left")
-        .select(roles.stay, roles.subject, roles.time, roles.label, "segment",
+        .select(roles.stay, roles.subject, roles.time, label.alias(roles.label), "segment",
                 *COHORT_FEATURES)
     )
