@@ -19,6 +19,7 @@ from outcomekit.functions.dist import t_two_sided_p
 from outcomekit.functions.expr import safe_div
 from outcomekit.functions.quantiles import exact_quantiles
 from outcomekit.operators.prep import to_long
+from outcomekit.operators.wide import pairwise_corr
 
 
 def long_form(df: DataFrame, features: list[str], label: str, ids: list[str] | None = None) -> DataFrame:
@@ -79,25 +80,10 @@ def top_k(df: DataFrame, by: str, k: int = 10, desc: bool = True, tie: str = "fe
 
 # ------------------------------------------------------------------ T5-T7
 def corr_matrix_long(df: DataFrame, features: list[str]) -> DataFrame:
-    """T5: pairwise Pearson r (i < j, pairwise-complete rows) for a short
-    feature list, as long rows (feature_a, feature_b, r).  One global
-    aggregate pass: k(k-1)/2 covariance aggregates, a single output row."""
-    aggs, pairs = [], []
-    for i, a in enumerate(features):
-        for j in range(i + 1, len(features)):
-            b = features[j]
-            xa = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-            xb = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-            r = safe_div(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
-            aggs.append(r.alias(f"r{len(pairs)}"))
-            pairs.append((a, b))
-    if not pairs:
-        spark = df.sparkSession
-        return spark.createDataFrame([], "feature_a string, feature_b string, r double")
-    one = df.agg(*aggs)
-    stack = "stack({}, {}) as (feature_a, feature_b, r)".format(
-        len(pairs), ", ".join(f"'{a}', '{b}', r{i}" for i, (a, b) in enumerate(pairs)))
-    return one.selectExpr(stack)
+    """T5: pairwise Pearson r (pairwise-complete rows) in matrix order, as rows
+    (``i``, ``j``, ``feature_a``, ``feature_b``, ``n``, ``r``) with i < j; one
+    pass of block-wise matrix products (``wide.pairwise_corr``)."""
+    return pairwise_corr(df, features)
 
 
 def corr_matrix_mean(pairs: DataFrame) -> DataFrame:
@@ -107,7 +93,7 @@ def corr_matrix_mean(pairs: DataFrame) -> DataFrame:
 
 def strong_pairs(pairs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     """|r| > threshold, first k in matrix order."""
-    return pairs.where(F.abs("r") > threshold).orderBy(F.abs("r").desc(), "feature_a", "feature_b").limit(k)
+    return pairs.where(F.abs("r") > threshold).orderBy("i", "j").limit(k).select("feature_a", "feature_b", "r")
 
 
 # ------------------------------------------------------------------ T8-T15
@@ -254,6 +240,13 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
                     "n"))
 
 
+def histogram_of_p(tests: DataFrame, col: str, bins: int = 50) -> DataFrame:
+    """T18 over a table of p-values: ``histogram`` and, per bin, whether it
+    lies below 0.05 and 0.01 (its upper edge does)."""
+    h = histogram(tests.select(F.col(col).alias("p")), "p", bins)
+    return h.withColumn("below_05", F.col("bin_hi") <= 0.05).withColumn("below_01", F.col("bin_hi") <= 0.01)
+
+
 def box_stats(long: DataFrame, label: str = "label") -> DataFrame:
     """Quartiles and 1.5 IQR whiskers per (feature, label group)."""
     q = exact_quantiles(long, ["feature", label], "value", [0.25, 0.5, 0.75])

@@ -67,7 +67,7 @@ LEARNERS: dict[str, tuple[str, LearnerSpec]] = {
                                                     params={"maxIter": 1000, "elasticNetParam": 0.0})),
     # unbounded depth is capped at 10: Spark grows trees level by level, one
     # distributed pass (and one node-statistics aggregate) per level
-    "random_forest": ("forest", LearnerSpec("random_forest", "balanced",
+    "random_forest": ("forest", LearnerSpec("random_forest", "balanced", 3.0,
                                             params={"numTrees": 200, "minInstancesPerNode": 5, "maxDepth": 10,
                                                     "maxMemoryInMB": 512})),
     "xgboost_like": ("gbt", LearnerSpec("xgboost_like", "smote_pos_weight", 10.0,
@@ -118,11 +118,10 @@ def prepare_training(train: DataFrame, features: list[str], spec: LearnerSpec, k
 
 def fit_learner(name: str, train: DataFrame, features: list[str], key: str = "stay_id",
                 label: str = "label", overrides: dict | None = None) -> PipelineModel:
-    """``overrides`` replace parameters of the preset; ``pos_weight`` that of its balance."""
+    """``overrides`` replace parameters of the preset; ``balance`` and ``pos_weight`` those of its balance."""
     kind, spec = LEARNERS[name]
     params = {**spec.params, **(overrides or {})}
-    if "pos_weight" in params:
-        spec = LearnerSpec(spec.name, spec.balance, params.pop("pos_weight"))
+    spec = LearnerSpec(spec.name, params.pop("balance", spec.balance), params.pop("pos_weight", spec.pos_weight))
     if kind == "logistic":
         # scikit-learn C = 1 on a summed loss ~ regParam 1/n on Spark's mean loss
         params.setdefault("regParam", 1.0 / max(1, train.count()))

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from outcomekit.operators import classify, evaluate, report
 from outcomekit.plans.catalog import register, rounded
 from outcomekit.plans.prepared import prepare
-from outcomekit.plans.sql import with_cohort
+from outcomekit.plans.sql import many_lines, with_cohort
+from outcomekit.plans.tuning import gate
 
 BY = ["model"]
 
 
-def _scored(spark, sf, on: str = "test"):
-    p = prepare(spark, sf)
+def _scored(spark, sf, on: str = "test", outcome: str = "urgent"):
+    p = prepare(spark, sf, outcome=outcome)
     rows = p.test if on == "test" else p.train
     nb = classify.fit_gaussian_nb(p.train, p.features)
     ce = classify.fit_centroids(p.train, p.features)
@@ -176,8 +177,8 @@ def q_class_report(spark, sf):
     return rounded(evaluate.class_report(evaluate.confusion(_scored(spark, sf), BY), BY))
 
 
-def _metric_table(spark, sf):
-    s = _scored(spark, sf)
+def _metric_table(spark, sf, outcome: str = "urgent"):
+    s = _scored(spark, sf, outcome=outcome)
     m = evaluate.class_metrics(evaluate.confusion(s, BY))
     return m.join(evaluate.roc_auc(s, BY), "model")
 
@@ -285,7 +286,13 @@ def q_final_report(spark, sf):
 @register("gate_models", _sqlm(f"SELECT model, round(auc, 6) AS auc FROM mt WHERE auc > 0.7"))
 def q_gate(spark, sf):
     """Only models whose AUC clears 0.7 go on to tuning."""
-    return rounded(_metric_table(spark, sf).where(F.col("auc") > 0.7).select("model", "auc"))
+    return rounded(gate(_metric_table(spark, sf)).select("model", "auc"))
+
+
+@register("gate_many_lines", many_lines(_sqlm("SELECT model, round(auc, 6) AS auc FROM mt WHERE auc > 0.7")))
+def q_gate_many_lines(spark, sf):
+    """M14 on an outcome that the features tell something about."""
+    return rounded(gate(_metric_table(spark, sf, "many_lines")).select("model", "auc"))
 
 
 @register("metrics_json", _sqlm(f"SELECT model, {ROUND5} FROM mt"))

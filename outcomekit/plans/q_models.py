@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from outcomekit.operators import classify, evaluate
+from outcomekit.operators import bootstrap, classify, evaluate, stats
 from outcomekit.operators.split import stratified_folds
-from outcomekit.plans import models
+from outcomekit.plans import models, tuning
 from outcomekit.plans.catalog import register, rounded
 from outcomekit.plans.prepared import prepare
 from outcomekit.plans.sql import with_cohort
@@ -38,6 +38,62 @@ def q_rf_importance(spark, sf):
     return rounded(models.importance_table(m, p.features, "random_forest_50", top=len(p.features)))
 
 
+@register("combined_importance_forest")
+def q_combined_forest(spark, sf):
+    """Half F of the ANOVA, half importance in a forest of 50 trees."""
+    p = prepare(spark, sf)
+    m = models.build_pipeline("forest", p.features, None, numTrees=50).fit(p.train)
+    forest = models.importance_table(m, p.features, "random_forest_50", top=len(p.features))
+    f = stats.anova_f(stats.feature_moments(stats.long_form(p.train, p.features, "label")))
+    feats = spark.createDataFrame([(x,) for x in p.features], "feature string")
+    return rounded(stats.combined_importance(f, forest, "importance", feats))
+
+
+@register("model_balanced_forest")
+def q_balanced_forest(spark, sf):
+    """30 deep trees, each on its own balanced bootstrap."""
+    from pyspark.ml.feature import VectorAssembler
+    p = prepare(spark, sf)
+    asm = VectorAssembler(inputCols=p.features, outputCol="features")
+    trees = bootstrap.fit_balanced_forest(asm.transform(p.train), 30, "stay_id")
+    scored = bootstrap.forest_score(trees, asm.transform(p.test))
+    return scored.select(F.lit("balanced_forest").alias("model"), "stay_id", "label", "score",
+                         (F.col("score") > 0.5).cast("int").alias("prediction"))
+
+
+# budgets of the learners that are fitted many times over; the presets hold elsewhere
+SHORT = {"random_forest": {"numTrees": 10, "maxDepth": 5}, "xgboost_like": {"maxIter": 3, "maxDepth": 3},
+         "lightgbm_like": {"maxIter": 3, "maxDepth": 3}, "gradient_boosting": {"maxIter": 3, "maxDepth": 3},
+         "neural_network": {"maxIter": 15, "hidden": [10, 5]}, "logistic_regression": {"maxIter": 50}, "linear_svm": {"maxIter": 20}}
+SHORT_GRIDS = {"random_forest": {"numTrees": [3, 6, 10], "maxDepth": [2, 4, 6], "minInstancesPerNode": [2, 4, 8],
+                                 "balance": ["balanced", "pos_weight"]},
+               "xgboost_like": {"maxIter": [1, 2], "maxDepth": [2, 3], "stepSize": [0.1, 0.3, 0.5], "subsamplingRate": [0.6, 0.8, 1.0],
+                                "balance": ["pos_weight"], "pos_weight": [1.0, 3.0]},
+               "lightgbm_like": {"maxIter": [1, 2], "maxDepth": [2, 3], "stepSize": [0.1, 0.3, 0.5], "subsamplingRate": [0.6, 0.8, 1.0],
+                                 "minInstancesPerNode": [10, 20, 30]}}
+
+
+@register("cv_learners")
+def q_cv_learners(spark, sf):
+    """3-fold stratified CV of every learner, resampled inside the folds."""
+    p = prepare(spark, sf)
+    rows = stratified_folds(p.train.select("stay_id", "label", *p.features), "stay_id", "label", 3)
+    return rounded(tuning.cross_validate(list(models.LEARNERS), rows, p.features, overrides=SHORT))
+
+
+@register("tuned_models")
+def q_tuned(spark, sf):
+    """M13 + M14: learners that pass the gate on a held-out split are tuned by
+    20, 15 and 15 seeded draws, on an outcome that the features tell something about."""
+    p = prepare(spark, sf, outcome="many_lines")
+    preds = None
+    for name in SHORT_GRIDS:
+        s = models.score(models.fit_learner(name, p.train, p.features, overrides=SHORT[name]), p.test, name)
+        preds = s if preds is None else preds.unionByName(s)
+    rows = stratified_folds(p.train.select("stay_id", "label", *p.features), "stay_id", "label", 3)
+    return rounded(tuning.tune_gated(evaluate.roc_auc(preds, ["model"]), rows, p.features, grids=SHORT_GRIDS, draws=tuning.DRAWS))
+
+
 @register("importance_table")
 def q_importance(spark, sf):
     """Top-20 |coefficients| of the balanced logistic regression."""

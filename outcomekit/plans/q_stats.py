@@ -60,7 +60,7 @@ def q_bottomk(spark, sf):
 PAIRS_CTE = CORR_CTE + """
 , top AS (SELECT feature, row_number() OVER (ORDER BY abs_r DESC, feature) AS rk FROM corr ORDER BY rk LIMIT 30)
 , pairs AS (
-  SELECT ta.feature AS feature_a, tb.feature AS feature_b,
+  SELECT ta.feature AS feature_a, tb.feature AS feature_b, any_value(ta.rk) AS rk_a, any_value(tb.rk) AS rk_b,
          covar_samp(a.value, b.value) / (stddev_samp(a.value) * stddev_samp(b.value)) AS r
   FROM top ta JOIN top tb ON ta.rk < tb.rk
   JOIN train a ON a.feature = ta.feature
@@ -76,7 +76,7 @@ def _pairs(spark, sf, k=30):
 
 @register("corr_matrix_long", _sql(PAIRS_CTE, "SELECT feature_a, feature_b, round(r, 6) AS r FROM pairs"))
 def q_corr_matrix(spark, sf):
-    return rounded(_pairs(spark, sf))
+    return rounded(_pairs(spark, sf).select("feature_a", "feature_b", "r"))
 
 
 @register("corr_matrix_mean", _sql(PAIRS_CTE, "SELECT round(avg(r), 6) AS mean_r, count(r) AS n_pairs FROM pairs"))
@@ -86,11 +86,54 @@ def q_corr_matrix_mean(spark, sf):
 
 @register("strong_pairs", _sql(PAIRS_CTE, """
 SELECT feature_a, feature_b, round(r, 6) AS r FROM pairs WHERE abs(r) > 0.8
-ORDER BY abs(r) DESC, feature_a, feature_b LIMIT 5"""))
+ORDER BY rk_a, rk_b LIMIT 5"""))
 def q_strong_pairs(spark, sf):
     return rounded(stats.strong_pairs(_pairs(spark, sf)))
 
 
+@register("strong_pairs_half", _sql(PAIRS_CTE, """
+SELECT feature_a, feature_b, round(r, 6) AS r FROM pairs WHERE abs(r) > 0.5
+ORDER BY rk_a, rk_b LIMIT 5"""))
+def q_strong_pairs_half(spark, sf):
+    """T7 at a threshold that pairs of this cohort pass."""
+    return rounded(stats.strong_pairs(_pairs(spark, sf), threshold=0.5))
+
+
+@register("corr_matrix_masked", with_cohort("""
+SELECT a.feature AS feature_a, b.feature AS feature_b, count(*) AS n,
+       round(covar_samp(a.value, b.value) / nullif(stddev_samp(a.value) * stddev_samp(b.value), 0), 6) AS r
+FROM long_all a JOIN long_all b ON a.stay_id = b.stay_id AND a.feature < b.feature
+WHERE a.value IS NOT NULL AND b.value IS NOT NULL GROUP BY a.feature, b.feature"""))
+def q_corr_masked(spark, sf):
+    """T5 before imputation: every pair over the rows in which both are present."""
+    from outcomekit.operators.wide import pairwise_corr
+    from outcomekit.plans.prepared import CANDIDATE_FEATURES, prepared_cohort
+    pairs = pairwise_corr(prepared_cohort(spark, sf), sorted(CANDIDATE_FEATURES)).where("n > 0")
+    return rounded(pairs.select("feature_a", "feature_b", "n", "r"))
+
+
+@register("group_statistics_wide", with_cohort("""
+SELECT feature, n, round(mean, 5) AS mean, round(std, 5) AS std, min, max, round(mean_0, 5) AS mean_0, round(sqrt(var_0), 5) AS std_0,
+       round(mean_1, 5) AS mean_1, round(sqrt(var_1), 5) AS std_1, round(cov_xy, 5) AS cov_xy, round(std_y, 5) AS std_y FROM moments"""))
+def q_group_statistics_wide(spark, sf):
+    """T2 / T3 by the columnar pass for tables of many columns."""
+    from outcomekit.operators.wide import group_moments
+    p = prepare(spark, sf)
+    m = group_moments(p.train, p.features).withColumns({f"std_{c}": F.sqrt(f"var_{c}") for c in (0, 1)})
+    return rounded(m.drop("n_0", "n_1", "var_0", "var_1"), 5, keep=("min", "max"))
+
+
+@register("missing_by_column_wide", with_cohort("""
+SELECT feature, count(*) FILTER (WHERE value IS NULL) AS missing, count(value) AS n, round(avg(value), 6) AS mean,
+       min(value) AS min, max(value) AS max FROM long_all GROUP BY feature"""))
+def q_missing_wide(spark, sf):
+    """P5 / C10 / C15 by the columnar pass, before imputation."""
+    from outcomekit.operators.wide import wide_moments
+    from outcomekit.plans.prepared import CANDIDATE_FEATURES, prepared_cohort
+    out = wide_moments(prepared_cohort(spark, sf), CANDIDATE_FEATURES)
+    return rounded(out.select("feature", "missing", "n", "mean", "min", "max"), keep=("min", "max"))
+
+
 from outcomekit.plans.sql import t_pvalue_ctes  # noqa: E402
 
 LEVENE_CTE = """
@@ -244,6 +287,37 @@ def q_box(spark, sf):
     return rounded(stats.box_stats(long.where(F.col("feature").isin(top))))
 
 
+@register("pvalue_histogram", _sql(GATED_CTE, """
+, mm AS (SELECT min(p_value) AS lo, max(p_value) AS hi FROM gated)
+, hb AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((p_value - lo) / (hi - lo) * 50) + 1, 50) END AS INTEGER) AS bin, lo, hi
+         FROM gated, mm WHERE p_value IS NOT NULL)
+, hh AS (SELECT bin, any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 50 AS bin_lo,
+                any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 50 AS bin_hi, count(*) AS n FROM hb GROUP BY bin)
+SELECT bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, n, bin_hi <= 0.05 AS below_05, bin_hi <= 0.01 AS below_01 FROM hh"""))
+def q_pvalue_histogram(spark, sf):
+    """The p-values of the gated tests in 50 bins."""
+    m, long, _ = _moments(spark, sf)
+    return rounded(stats.histogram_of_p(stats.gated_tests(m, long), "p_value", 50))
+
+
+@register("box_stats_ttest", _sql(GATED_CTE, """
+, top4 AS (SELECT feature FROM gated ORDER BY p_value, feature LIMIT 4)
+, q AS (SELECT feature, label, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+               quantile_cont(value, 0.75) AS q3 FROM train WHERE feature IN (SELECT feature FROM top4) GROUP BY feature, label)
+SELECT q.feature, q.label, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+       round(min(t.value) FILTER (WHERE t.value >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
+       round(max(t.value) FILTER (WHERE t.value <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+       count(*) FILTER (WHERE t.value < q1 - 1.5 * (q3 - q1) OR t.value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM q JOIN train t ON q.feature = t.feature AND q.label = t.label
+GROUP BY q.feature, q.label, q1, median, q3"""))
+def q_box_ttest(spark, sf):
+    """Boxes of the four features with the smallest p-values."""
+    m, long, _ = _moments(spark, sf)
+    tests = stats.gated_tests(m, long).where("p_value is not null")
+    top = [r.feature for r in stats.top_k(tests, "p_value", 4, desc=False).select("feature").collect()]
+    return rounded(stats.box_stats(long.where(F.col("feature").isin(top))))
+
+
 @register("analysis_summary", with_cohort("""
 SELECT (SELECT count(*) FROM prepared WHERE split = 'train') AS n_train_rows,
        (SELECT count(*) FROM prepared WHERE split = 'test') AS n_test_rows,

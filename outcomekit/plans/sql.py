@@ -8,6 +8,7 @@ missingness cut becomes a semi-join on the kept feature names.
 from __future__ import annotations
 
 from outcomekit.plans.prepared import CANDIDATE_FEATURES
+from outcomekit.sources.cohort import MANY_LINES
 
 SPLIT_SQL = ("CASE WHEN CAST(('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 "
              "THEN 'test' ELSE 'train' END")
@@ -25,7 +26,8 @@ li AS (
          min(l_quantity) AS qty_min, max(l_quantity) AS qty_max,
          min(l_extendedprice) AS price_min, max(l_extendedprice) AS price_max,
          avg(l_discount) AS disc_mean,
-         max(CASE WHEN l_returnflag = 'A' AND l_discount >= 0.09 THEN l_quantity END) AS rare_qty
+         max(CASE WHEN l_returnflag = 'A' AND l_discount >= 0.09 THEN l_quantity END) AS rare_qty,
+         count(*) AS n_lines
   FROM lineitem GROUP BY l_orderkey),
 cohort AS (
   SELECT o.o_orderkey AS stay_id, o.o_custkey AS subject_id, o.o_orderdate AS admit_time,
@@ -81,10 +83,21 @@ moments AS (
 """
 
 
+URGENT_SQL = "CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS label"
+MANY_LINES_SQL = f"CAST(coalesce(li.n_lines, 0) > {MANY_LINES} AS INTEGER) AS label"
+
+
 def with_cohort(body: str) -> str:
     return "WITH " + COHORT_CTES.strip() + "\n" + body.strip()
 
 
+def many_lines(sql: str) -> str:
+    """``sql`` for the cohort whose label is an order of many lines."""
+    if URGENT_SQL not in sql:
+        raise ValueError("no cohort in this SQL")
+    return sql.replace(URGENT_SQL, MANY_LINES_SQL)
+
+
 def r6(expr: str, alias: str, places: int = 6) -> str:
     return f"round(CAST({expr} AS DOUBLE), {places}) AS {alias}"
 
