@@ -31,7 +31,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     back.  The files outlive a lost executor; each plan above runs once."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote for these; nothing may read them again."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @contextmanager

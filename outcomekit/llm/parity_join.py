@@ -20,16 +20,20 @@ order, share one (pigeonhole).  Those segments are the join keys.
   (ids hashed to bits) tells the tasks that read the texts which ones are
   wanted.  A wrong hit makes a row too many, never one too few.
 * No group is expanded into all pairs.  First each member of a key is compared
-  with the key's smallest id; links make components; then only members of
-  different components of one key are compared, and of those only pairs whose
+  with the key's smallest id; links make components.  Leader rounds follow: in
+  each, the members of a key that are in another component than a member
+  chosen by hash are compared with that one, and components are merged again;
+  a round makes one row a member at most.  Only then are the members of
+  different components of one key compared, and of those only pairs whose
   places of the key, counted in the order, leave room for a link: the segments
   before a pair's first common key all differ.  A frequent key comes last in
   the order, so that only documents made of little else are compared by it.
-  Their rows bring a folded sketch along, so that a group of many texts that
-  are alike but not alike enough makes comparisons, yet no rows.
-* A pair is first judged by parity sketches of ``SKETCH`` bits, whose Hamming
-  distance is no larger than the symmetric difference; what passes is verified
-  on the whole sets, rebuilt from the texts.
+  Their rows bring a sketch of ``FOLDED`` words along, so that a group of many
+  texts that are alike but not alike enough makes comparisons, yet few rows.
+* A pair is first judged by parity sketches, whose Hamming distance is no
+  larger than the symmetric difference; what passes is verified on the whole
+  sets, rebuilt from the texts.  A sketch has four bits or more for every
+  shingle of its size band; the wider of two is folded to the narrower.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomekit.llm.common import small_batches, table, text_bytes, written
+from outcomekit.llm.common import discard, small_batches, table, text_bytes, written
 from outcomekit.llm.components import components
 from outcomekit.llm.shingles import mix64, shingle_sets
 
@@ -50,8 +54,9 @@ LEAST_BAND = 64              # shingles; below, one segment a shingle
 HOT_CHUNK = 2_000_000        # shingles counted at once
 HOT_LEAST = 4                # of them, for a shingle to be reported as frequent
 HOT_KEYS = 200_000           # most frequent shingles that the order knows (never decides a link)
-SKETCH = 1 << 11             # bits of the sketch that a pair is judged by
-FOLDED = 8                   # 64-bit words of that sketch, folded, that rows bring along in the second round
+SKETCH = 1 << 11             # bits of a sketch at least
+FOLDED = 32                  # 64-bit words of a sketch, folded, that rows bring along in the last round
+ROUNDS = 3                   # leader rounds at most; the last round compares what they leave
 BITS = 1 << 24               # of a bitmap of ids (2 MB); a full one makes more work, not other results
 
 
@@ -218,10 +223,22 @@ def _as_sets(bits: np.ndarray):
     return as_sets
 
 
+def width_of(n: int) -> int:
+    """Bits of the sketch of ``n`` shingles: four for each of its band's upper end."""
+    return max(SKETCH, 4 << int(n).bit_length())
+
+
 def parity(s: np.ndarray) -> bytes:
     """XOR of one bit per shingle: bit i is the parity of those hashed to i."""
-    place = (s >> np.uint64(64 - (SKETCH.bit_length() - 1))).astype(np.int64)
-    return np.packbits((np.bincount(place, minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+    width = width_of(len(s))
+    place = (s & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, count: int) -> np.ndarray:
+    """A sketch's 64-bit words, folded to ``count`` (a power of two) by XOR: the
+    sketch of the same set at that width."""
+    return np.bitwise_xor.reduce(words.reshape(-1, count), axis=0)
 
 
 def _as_sketches(bits: np.ndarray):
@@ -243,7 +260,7 @@ def _as_folded(bits: np.ndarray):
             batch = _wanted(batch, bits)
             k = np.zeros((batch.num_rows, FOLDED), np.int64)
             for i, s in shingle_sets(batch.column("t")):
-                k[i] = np.bitwise_xor.reduce(np.frombuffer(parity(s), np.int64).reshape(-1, FOLDED), axis=0)
+                k[i] = folded(np.frombuffer(parity(s), np.int64), FOLDED)
             yield pa.record_batch([batch.column("id"), *(pa.array(w) for w in np.ascontiguousarray(k.T))],
                                   names=["id", *(f"k{w}" for w in range(FOLDED))])
     return as_folded
@@ -252,8 +269,11 @@ def _as_folded(bits: np.ndarray):
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches differ in no more bits than linked sets may."""
     for batch in batches:
-        bits = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
-        differ = np.bitwise_count(bits("ka") ^ bits("kb")).sum(1, dtype=np.int64)
+        differ = np.zeros(batch.num_rows, np.int64)
+        for i, (x, y) in enumerate(zip(batch.column("ka"), batch.column("kb"))):
+            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            least = min(len(a), len(b))
+            differ[i] = np.bitwise_count(folded(a, least) ^ folded(b, least)).sum(dtype=np.int64)
         most = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
         yield batch.select(["a", "b"]).filter(pa.array(9 * differ <= most))
 
@@ -280,17 +300,20 @@ def _of_ids(ids: DataFrame, texts: DataFrame, made, schema: str, name: str) -> D
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+    """The pairs (a, b) whose whole sets link, written."""
     pairs = written(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
     k = _of_pairs(pairs, texts, _as_sketches, "id long, n int, k binary", "pair-sketches")
     near = pairs.join(k.toDF("a", "na", "ka"), "a").join(k.toDF("b", "nb", "kb"), "b")
     near = written(near.mapInArrow(_near, "a long, b long").distinct(), "near-pairs")
+    discard(pairs, k)
     if near.isEmpty():
         return near
     s = _of_pairs(near, texts, _as_sets, "id long, s binary", "pair-sets")
-    return near.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b").mapInArrow(_linked, "a long, b long")
+    out = written(near.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b").mapInArrow(_linked, "a long, b long"), "links")
+    discard(near, s)
+    return out
 
 
 # ---- the join -----------------------------------------------------------
@@ -310,6 +333,28 @@ def _may_link(an: str, bn: str, ap: str, bp: str) -> Column:
     return sizes & (9 * F.when(ap < 0, F.greatest(-1 - ap, -1 - bp)).otherwise(ap + bp) <= an + bn)
 
 
+def _open(member: DataFrame, found: DataFrame) -> DataFrame:
+    """``member`` (key, id, n, p) rows of keys whose members are in several
+    components (``found``: id, root), with their ``root``, written."""
+    member = member.join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    split = member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return written(member.join(split, "key").select("key", "id", "n", "p", "root"), "open")
+
+
+def _with_leaders(open_: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): each key's member of the smallest hash, another one in each
+    ``turn``, and the key's members in other components than that one's."""
+    lead = F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id", "n", "p", "root")).alias("l")
+    lead = open_.groupBy("key").agg(lead).select("key", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("id", "n", "p", "root")])
+    met = open_.join(lead, "key").where((F.col("root") != F.col("l_root")) & _may_link("n", "l_n", "p", "l_p"))
+    return met.select(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).distinct()
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (id, root) after further links (a, b)."""
+    return components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(links))
+
+
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` per row of ``docs``.
 
@@ -330,22 +375,29 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         members = written(keyed.mapInArrow(_with_lowest, "key long, id long, n int, p int, a long, an int, ap int"), "members")
         first = (members.where((F.col("id") > F.col("a")) & _may_link("n", "an", "p", "ap"))
                  .select("a", F.col("id").alias("b")).distinct())
-        links = written(verified(first, texts), "links")
-        found = written(components(links), "roots")
-        # second round: keys whose members are in several components so far
-        member = members.select("key", "id", "n", "p").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        split = member.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        open_ = written(member.join(split, "key"), "open")
-        folded = _of_ids(open_.select("id"), texts, _as_folded, ", ".join(["id long", *(f"k{w} long" for w in range(FOLDED))]), "folded")
-        open_ = open_.join(folded, "id")
+        found = written(components(verified(first, texts)), "roots")
+        open_ = _open(members.select("key", "id", "n", "p"), found)
+        discard(members)
+        for k in range(ROUNDS):
+            if open_.isEmpty():
+                break
+            links = verified(_with_leaders(open_, k), texts)
+            if links.isEmpty():
+                continue
+            found, before = written(_merged(found, links), "roots"), found
+            open_, was = _open(open_.select("key", "id", "n", "p"), found), open_
+            discard(before, links, was)
+        # what the leaders leave: members of different components of one key
+        sketches = _of_ids(open_.select("id"), texts, _as_folded, ", ".join(["id long", *(f"k{w} long" for w in range(FOLDED))]), "folded")
+        rows = open_.join(sketches, "id")
         differ = sum((F.bit_count(F.col(f"a_k{w}").bitwiseXOR(F.col(f"b_k{w}"))) for w in range(FOLDED)), F.lit(0))
-        second = (_side(open_, "a").join(_side(open_, "b"), "key")
-                  .where((F.col("a_root") < F.col("b_root")) & _may_link("a_n", "b_n", "a_p", "b_p")
-                         & (9 * differ <= F.col("a_n") + F.col("b_n")))
-                  .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
-        second = second.join(first, ["a", "b"], "left_anti")
-        more = written(verified(second, texts), "links")
-        final = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
+        last = (_side(rows, "a").join(_side(rows, "b"), "key")
+                .where((F.col("a_root") < F.col("b_root")) & _may_link("a_n", "b_n", "a_p", "b_p")
+                       & (9 * differ <= F.col("a_n") + F.col("b_n")))
+                .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
+        more = verified(last, texts)
+        final = written(_merged(found, more), "roots")
+        discard(open_, sketches, found, more)
         label = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left")
         label = label.select("same", F.coalesce("root", "rep").alias("component_id"))
     return (base.select("id", "n", "same").join(label, "same", "left")

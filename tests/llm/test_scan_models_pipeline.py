@@ -19,17 +19,22 @@ def docs_of(spark, rows):
 # ---- licence scan ---------------------------------------------------------------
 
 def brute_matches(text, least):
-    """Every window of every template's length at every place, and every line."""
+    """Best coefficient per licence over all passages of all lengths."""
     words = lic.normalise(text)
-    lines = [lic.normalise(x) for x in text.split("\n")]
     found = {}
     for name, texts in lic.TEMPLATES.items():
         for t in texts:
-            tw = lic.normalise(t)
-            passages = lines + [words[max(0, k):k + len(tw)] for k in range(-len(tw), len(words))]
-            best = max((lic.dice(lic.bigrams(tw), lic.bigrams(p)) for p in passages), default=0.0)
-            if best >= least:
-                found[name] = max(best, found.get(name, 0.0))
+            grams = lic.bigrams(lic.normalise(t))
+            for lo in range(len(words)):
+                left, common = dict(grams), 0
+                for hi in range(lo + 1, len(words)):                  # one more bigram of the passage at a time
+                    (g,) = lic.bigrams(words[hi - 1:hi + 1])
+                    if left.get(g, 0):
+                        left[g] -= 1
+                        common += 1
+                    d = 2 * common / (grams.total() + hi - lo)
+                    if d >= least:
+                        found[name] = max(d, found.get(name, 0.0))
     return found
 
 

@@ -80,6 +80,37 @@ def test_parity_join_matches_brute_force(spark):
     assert len(check_join(spark, rows)) > 20
 
 
+def test_parity_join_of_large_groups_of_variants(spark):
+    """Variants of one text that are alike but not alike enough, among them some
+    that are; sets of 90, 1,500 and 6,000 shingles."""
+    rng = random.Random(29)
+    rows, want = [], 0
+    for size, count in ((90, 60), (1500, 14), (6000, 6)):
+        base = [f"b{rng.randrange(10 ** 9)}" for _ in range(size)]
+        for _ in range(count):
+            t = list(base)
+            for at in rng.sample(range(size), max(3, size // 38)):      # each change takes five shingles: about 0.76 to one another
+                t[at] = f"v{rng.randrange(10 ** 9)}"
+            rows.append((len(rows), " ".join(t)))
+            if rng.random() < 0.3:
+                t[rng.randrange(size)] = "near"
+                rows.append((len(rows), " ".join(t)))
+                want += 1
+    assert len(check_join(spark, rows)) >= want > 10
+
+
+def test_sketches_bound_the_difference_at_any_width():
+    rng = np.random.default_rng(31)
+    for n, m in ((50, 60), (700, 900), (1500, 6000), (6000, 6100)):
+        both = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+        a, b = both[:n], both[n // 3:n // 3 + m]
+        true = len(np.setxor1d(a, b))
+        x, y = (np.frombuffer(parity_join.parity(s), np.uint64) for s in (a, b))
+        assert 64 * len(x) >= max(parity_join.SKETCH, 4 * n)
+        for count in (min(len(x), len(y)), parity_join.FOLDED):
+            assert np.bitwise_count(parity_join.folded(x, count) ^ parity_join.folded(y, count)).sum() <= true
+
+
 def test_parity_join_at_exactly_four_fifths(spark):
     a = [f"w{k}" for k in range(104)]                       # 100 shingles
     b, c = a[:84] + ["x"] * 0, a[:83]                       # 80 and 79 of them
