@@ -55,8 +55,10 @@ HOT_CHUNK = 2_000_000        # shingles counted at once
 HOT_LEAST = 4                # of them, for a shingle to be reported as frequent
 HOT_KEYS = 200_000           # most frequent shingles that the order knows (never decides a link)
 SKETCH = 1 << 11             # bits of a sketch at least
-FOLDED = 32                  # 64-bit words of a sketch, folded, that rows bring along in the last round
-ROUNDS = 3                   # leader rounds at most; the last round compares what they leave
+FIRST = 8                    # 64-bit words of the narrow sketch that a pair meets first
+FOLDED = 32                  # 64-bit words of the wider one, ...
+LARGE = 256                  # ... which sets of so many shingles bring along in the last round
+ROUNDS = 2                   # leader rounds at most; the last round compares what they leave
 BITS = 1 << 24               # of a bitmap of ids (2 MB); a full one makes more work, not other results
 
 
@@ -253,17 +255,31 @@ def _as_sketches(bits: np.ndarray):
     return as_sketches
 
 
-def _as_folded(bits: np.ndarray):
-    """Sketches folded by XOR: as parities, they bound the difference too."""
-    def as_folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _as_judged(bits: np.ndarray):
+    """Size, sketch and whole set."""
+    def as_judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = _wanted(batch, bits)
-            k = np.zeros((batch.num_rows, FOLDED), np.int64)
-            for i, s in shingle_sets(batch.column("t")):
-                k[i] = folded(np.frombuffer(parity(s), np.int64), FOLDED)
-            yield pa.record_batch([batch.column("id"), *(pa.array(w) for w in np.ascontiguousarray(k.T))],
-                                  names=["id", *(f"k{w}" for w in range(FOLDED))])
-    return as_folded
+            n, k, sets = [], [], []
+            for _, s in shingle_sets(batch.column("t")):
+                n.append(len(s))
+                k.append(parity(s))
+                sets.append(s.tobytes())
+            yield pa.record_batch([batch.column("id"), pa.array(n, pa.int32()), pa.array(k, pa.binary()), pa.array(sets, pa.binary())],
+                                  names=["id", "n", "k", "s"])
+    return as_judged
+
+
+def _as_folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches folded by XOR (as parities, they bound the difference too): to
+    FIRST words, and to FOLDED words for sets of ``LARGE`` shingles or more."""
+    for batch in batches:
+        k, wide = np.zeros((batch.num_rows, FIRST), np.int64), [None] * batch.num_rows
+        for i, (x, n) in enumerate(zip(batch.column("k"), batch.column("n").to_pylist())):
+            w = folded(np.frombuffer(x.as_buffer(), np.int64), FOLDED)
+            k[i], wide[i] = folded(w, FIRST), w if n >= LARGE else None
+        yield pa.record_batch([batch.column("id"), *(pa.array(w) for w in np.ascontiguousarray(k.T)), pa.array(wide, pa.list_(pa.int64()))],
+                              names=["id", *(f"f{w}" for w in range(FIRST)), "wide"])
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,6 +332,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return out
 
 
+def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by the sketches and sets given.  Sketches are
+    joined first, so that sets are read for pairs that pass them only."""
+    k, s = sets.select("id", "n", "k"), sets.select("id", "s")
+    near = pairs.join(k.toDF("a", "na", "ka"), "a").join(k.toDF("b", "nb", "kb"), "b").mapInArrow(_near, "a long, b long")
+    return near.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b").mapInArrow(_linked, "a long, b long")
+
+
 # ---- the join -----------------------------------------------------------
 
 def _side(rows: DataFrame, side: str) -> DataFrame:
@@ -378,26 +402,29 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         found = written(components(verified(first, texts)), "roots")
         open_ = _open(members.select("key", "id", "n", "p"), found)
         discard(members)
+        # the sets of the documents left open, read once for all rounds
+        sets = _of_ids(open_.select("id"), texts, _as_judged, "id long, n int, k binary, s binary", "open-sets")
         for k in range(ROUNDS):
-            if open_.isEmpty():
-                break
-            links = verified(_with_leaders(open_, k), texts)
+            links = written(_judged(_with_leaders(open_, k), sets), "links")
             if links.isEmpty():
-                continue
+                break
             found, before = written(_merged(found, links), "roots"), found
             open_, was = _open(open_.select("key", "id", "n", "p"), found), open_
             discard(before, links, was)
         # what the leaders leave: members of different components of one key
-        sketches = _of_ids(open_.select("id"), texts, _as_folded, ", ".join(["id long", *(f"k{w} long" for w in range(FOLDED))]), "folded")
-        rows = open_.join(sketches, "id")
-        differ = sum((F.bit_count(F.col(f"a_k{w}").bitwiseXOR(F.col(f"b_k{w}"))) for w in range(FOLDED)), F.lit(0))
+        # a sketch folded to FIRST words sorts out most pairs; large sets, which it can't tell apart, bring a wider one
+        names = [f"f{w}" for w in range(FIRST)]
+        words = sets.select("id", "k", "n").mapInArrow(_as_folded, ", ".join(["id long", *(f"{w} long" for w in names), "wide array<bigint>"]))
+        rows = open_.join(words, "id")
+        room = F.col("a_n") + F.col("b_n")
+        narrow = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in names), F.lit(0))
+        bits = F.aggregate(F.zip_with("a_wide", "b_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
         last = (_side(rows, "a").join(_side(rows, "b"), "key")
                 .where((F.col("a_root") < F.col("b_root")) & _may_link("a_n", "b_n", "a_p", "b_p")
-                       & (9 * differ <= F.col("a_n") + F.col("b_n")))
+                       & (9 * narrow <= room) & F.coalesce(9 * bits <= room, F.lit(True)))
                 .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
-        more = verified(last, texts)
-        final = written(_merged(found, more), "roots")
-        discard(open_, sketches, found, more)
+        final = written(_merged(found, written(_judged(last, sets), "links")), "roots")
+        discard(open_, sets, found)
         label = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left")
         label = label.select("same", F.coalesce("root", "rep").alias("component_id"))
     return (base.select("id", "n", "same").join(label, "same", "left")
