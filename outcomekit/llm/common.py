@@ -64,6 +64,18 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, own)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named by position, and the new name of each
+    column: an operator's own columns can't clash with those of its input."""
+    names = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def renamed_back(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of the input of ``numbered`` under their own names."""
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(c.cast("string"), F.lit("")), UPPER, LOWER)

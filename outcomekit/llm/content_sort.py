@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outcomekit.llm.common import ascii_lower, table, written
+from outcomekit.llm.common import ascii_lower, numbered, renamed_back, table, written
 
 PREFIX_CHARS = 32  # of the text, in the splitters (bounded key; the sort itself uses all)
 
@@ -156,9 +156,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row (largest id) of each group of equal texts."""
-    out = content_sort_dedup(docs, keep="largest", columns=docs.columns)
-    return out.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Keep one row (largest id) of each group of equal texts, with all its
+    columns, whatever their names.  Null and empty texts are one group; of
+    repeated rows one stays."""
+    own, names = numbered(docs)
+    out = content_sort_dedup(own, names["doc_id"], names["text"], keep="largest", columns=own.columns)
+    return renamed_back(out.where("kept"), names)
 
 
 _NORM = f"translate(coalesce(text, ''), '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"

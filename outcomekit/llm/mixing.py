@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from outcomekit.llm.common import table, word_count, written
+from outcomekit.llm.common import numbered, renamed_back, table, word_count, written
 
 WEIGHTS = (5, 2, 1)          # by position in code point order, repeating; null last
 CEILING = 3                  # a target stops at this multiple of its source's size
@@ -154,15 +154,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus: every whole pass over a document is one row with its
     whole text; what is taken once more is one further row, the whole text or
-    its beginning with its white space.  ``n_chars`` follows the text."""
-    out = mix(docs, columns=docs.columns)
+    its beginning with its white space.  ``n_chars`` follows the text; all other columns stay,
+    whatever their names.  Null and blank texts take nothing and go; repeated
+    rows are separate documents."""
+    own, names = numbered(docs)
+    out = mix(own, names["doc_id"], names["text"], names["source"], columns=own.columns)
+    text = F.col(names["text"])
     last = F.get("extra", F.lit(0))["last"].cast("int")
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"))
-    part = F.when(F.size("extra") == 0, F.lit(None)).when(last >= F.col("size"), F.col("text")) \
+    words = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"))
+    part = F.when(F.size("extra") == 0, F.lit(None)).when(last >= F.col("size"), text) \
         .otherwise(F.array_join(F.slice(words, F.lit(1), last), ""))
-    copies = F.concat(F.array_repeat(F.col("text"), F.col("passes").cast("int")),
+    copies = F.concat(F.array_repeat(text, F.col("passes").cast("int")),
                       F.filter(F.array(part), lambda x: x.isNotNull()))
-    cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
-    out = out.where(F.col("taken") > 0).select(*cols, F.explode(copies).alias("text"))
-    length = F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint"))
-    return out.select(*[length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    cols = [n for c, n in names.items() if c != "text"]
+    out = out.where(F.col("taken") > 0).select(*cols, F.explode(copies).alias(names["text"]))
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.length(names["text"]).cast(dict(docs.dtypes)["n_chars"]))
+    return renamed_back(out, names)

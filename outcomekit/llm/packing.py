@@ -75,10 +75,11 @@ def best_fit(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capac
 
 def _pack_shard(capacity: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["doc_id", "_no_id", "_cluster", "_source", "size", "copy"], ignore_index=True)
         size = rows["size"].to_numpy(np.int64)
         full, rest = size // capacity, size % capacity
         packed = (rest > 0) | (size == 0)
-        order = np.lexsort((rows["_cluster"].to_numpy(), rows["doc_id"].to_numpy(), -rest))
+        order = np.argsort(-rest, kind="stable")
         order = order[packed[order]]
         src = rows["_source"].to_numpy(np.int64).view(np.uint64)
         clu = rows["_cluster"].to_numpy(np.int64).view(np.uint64)
@@ -93,9 +94,10 @@ def _pack_shard(capacity: int):
                                        "bin": bins + np.arange(len(rep)), "bin_start": 0}))
         out = pd.concat(parts, ignore_index=True)
         out["doc_id"] = rows["doc_id"].to_numpy()[out["at"]]
-        out["_no_id"] = rows["_no_id"].to_numpy()[out["at"]]
+        for name in ("_no_id", "_cluster", "copy"):
+            out[name] = rows[name].to_numpy()[out["at"]]
         out["shard"] = rows["shard"].iloc[0]
-        return out[["doc_id", "_no_id", "piece", "first_word", "words", "shard", "bin", "bin_start"]]
+        return out[["doc_id", "_no_id", "_cluster", "copy", "piece", "first_word", "words", "shard", "bin", "bin_start"]]
 
     return pack
 
@@ -103,11 +105,13 @@ def _pack_shard(capacity: int):
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          cluster: F.Column | None = None, capacity: int = BIN_WORDS, rows_per_shard: int = ROWS_PER_SHARD,
          seed: int = SEED) -> DataFrame:
-    """One row per piece of a document: ``doc_id, piece, first_word, words,
-    shard, bin, bin_start``.  ``cluster`` names the duplicate cluster (default:
-    the normalised text).  A null source is a source; a null or blank text has
-    0 words and still gets a place; repeated rows are packed apart; null ids
-    stay null."""
+    """One row per piece of a document: ``doc_id, cluster, copy, piece,
+    first_word, words, shard, bin, bin_start``.  ``cluster`` names the duplicate
+    cluster (default: a hash of the normalised text).  A null source is a
+    source; a null or blank text has 0 words and still gets a place; null ids
+    stay null; an empty table gives an empty result.  Repeated rows are packed
+    apart, each with its own ``copy`` number (from 0): they are counted, and
+    their copies dealt to all shards."""
     cluster = cluster if cluster is not None else F.xxhash64(ascii_lower(F.col(f"`{text_col}`")))
     sized = written(docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("doc_id"),
@@ -115,12 +119,20 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         F.xxhash64(F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("\0"))).alias("_source"),
         cluster.cast("long").alias("_cluster")), "pack-sizes")
     shards = max(1, math.ceil(sized.count() / rows_per_shard))
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_cluster", "size"), F.lit(shards)).cast("int"))
+    # repeated rows, up to a third of all, are one row with their number until they have a shard; runs of copies
+    # are dealt out before they are listed, so that no task lists them all
+    alike = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).alias("n"))
+    runs = alike.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(rows_per_shard).cast("long"))))
+    many = runs.where(F.col("n") > rows_per_shard).repartition("doc_id", "_cluster", "from")
+    last = F.least(F.col("from") + rows_per_shard, F.col("n")) - 1
+    dealt = (runs.where(F.col("n") <= rows_per_shard).unionByName(many)
+             .select(*sized.columns, F.explode(F.sequence("from", last)).alias("copy"))
+             .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_cluster", "size", "copy"), F.lit(shards)).cast("int")))
     placed = dealt.groupBy("shard").applyInPandas(
         _pack_shard(capacity),
-        "doc_id long, _no_id boolean, piece long, first_word long, words long, shard int, bin long, bin_start long")
+        "doc_id long, _no_id boolean, _cluster long, copy long, piece long, first_word long, words long, shard int, bin long, bin_start long")
     return placed.select(F.when(~F.col("_no_id"), F.col("doc_id")).alias("doc_id"),
-                         "piece", "first_word", "words", "shard", "bin", "bin_start")
+                         F.col("_cluster").alias("cluster"), "copy", "piece", "first_word", "words", "shard", "bin", "bin_start")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,5 +141,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed corpus: one row per piece with its place and its words'
-    document; the last stage, so the columns are the packing's own."""
+    document; the last stage, so the columns are the packing's own.  ``doc_id``
+    and ``cluster`` (of the normalised text) say which of the mix's texts a
+    piece is of, ``copy`` which of its copies."""
     return pack(docs)

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomekit.llm.common import discard, small_batches, table, text_bytes, written
+from outcomekit.llm.common import discard, numbered, renamed_back, small_batches, table, text_bytes, written
 from outcomekit.llm.components import components
 from outcomekit.llm.shingles import mix64, shingle_sets
 
@@ -437,7 +437,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the component's id."""
-    groups = similarity_components(docs)
+    """One document of each group stays, with all its columns, whatever their
+    names: the one with the component's id.  Rows that share an id are one
+    document and stay or go together, equal ones too (exact dedup goes before);
+    rows without an id stay where no row of their group has one.  Null and
+    empty texts are linked with nothing and stay."""
+    own, names = numbered(docs)
+    groups = similarity_components(own, names["doc_id"], names["text"])
     keep = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
-    return docs.join(keep.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    kept = own.join(keep.distinct(), F.col(names["doc_id"]).cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    return renamed_back(kept, names)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomekit.llm.common import table
+from outcomekit.llm.common import numbered, renamed_back, table
 from outcomekit.llm.shingles import mix64, shingle_sets
 
 TRAIN_ROWS = 20_000          # labelled rows used at most, by hash order
@@ -238,7 +238,7 @@ def choose_stems(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
         if ratio >= EVIDENCE and w >= 1.0:
             weight[s] = min(w, MOST_WEIGHT)
     keep: dict[str, float] = {}
-    for s in sorted(weight, key=len):
+    for s in sorted(weight, key=lambda s: (len(s), s)):
         above = next((s[:n] for n in range(len(s) - 1, 2, -1) if s[:n] in keep), None)
         if above and toxic[above] == toxic[s] and clean.get(s, 0) <= clean.get(above, 0):
             del keep[above]                                  # the same documents: the longer stem is safer
@@ -284,7 +284,11 @@ def held_out(id_col: F.Column) -> F.Column:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``rows`` labelled rows outside the held-out fold (the
-    first ones in the order of a hash of the id)."""
+    first ones in the order of a hash of the id).
+
+    Rows without an id, a text's copies and further texts of one id take no
+    part; without toxic or without clean rows the model is ``DEFAULT_MODEL``.
+    The same rows in any order give the same model."""
     key = F.col(f"`{id_col}`").cast("long")
     chosen = (labels.select(key.alias("i"), F.col(f"`{label_col}`").cast("int").alias("y"))
               .where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i")))
@@ -293,9 +297,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = (docs.select(key.alias("i"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
               .join(F.broadcast(chosen), "i"))
     sample = sample.mapInArrow(_with_signatures, "i long, t string, y int, m1 long, m2 long")
-    # one document of a group of near copies, else the group's words look like evidence
-    sample = sample.dropDuplicates(["m1"]).dropDuplicates(["m2"]).select("i", "t", "y", F.pmod(F.xxhash64("i"), F.lit(3)).alias("part"))
-    sample = sample.persist()
+    # one document of a group of near copies, else the group's words look like evidence; one text of an id:
+    # at most ``rows`` rows.  The smallest (id, text) stays, whatever the order of the rows
+    for by in ("m1", "m2", "i"):
+        first = F.min(F.struct("i", "t", "y", "m1", "m2")).alias("r")
+        sample = sample.groupBy(F.col(by).alias("_by")).agg(first).select("r.*")
+    sample = sample.select("i", "t", "y", F.pmod(F.xxhash64("i"), F.lit(3)).alias("part")).persist()
     try:
         n = {(bool(r["s"]), r["y"]): r["count"] for r in sample.groupBy((F.col("part") > 0).alias("s"), "y").count().collect()}
         seeds = {w + "$": SEED_WEIGHT for w in SEED_INSULTS.split()}
@@ -307,6 +314,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         # the third that gave no stems calibrates; with few rows, all of them do
         fit_on = sample if min(n.get((False, 1), 0), n.get((False, 0), 0)) < 10 else sample.where("part = 0")
         table_ = fit_on.mapInArrow(_feature_rows(stems), "y int, a double, b double, c double, d double").toPandas()
+        table_ = table_.sort_values(list("yabcd"))               # sums of floats don't follow the order of the rows
         y = table_["y"].to_numpy(float)
         if not 0 < y.sum() < len(y):
             return Model(stems, DEFAULT_MODEL)
@@ -367,6 +375,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go; the rest keep all their columns."""
+    """Documents predicted toxic go; the rest keep all their columns, whatever
+    their names.  Repeated rows stay or go together; null and empty texts stay."""
+    own, names = numbered(docs)
     model = learn(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, docs.columns).where("score < 0.5").drop("score")
+    return renamed_back(score(own, model, own.columns, names["text"]).where("score < 0.5"), names)
