@@ -51,11 +51,13 @@ def _jll(rows, label_value, features) -> Column:
 
 
 def apply_gaussian_nb(df: DataFrame, fitted: DataFrame, features: list[str],
-                      out: str = "score") -> DataFrame:
-    """P(class 1 | x) as ``score`` — a projection with literal class stats."""
+                      out: str = "score", margin: str = "margin") -> DataFrame:
+    """P(class 1 | x) as ``score`` and its log-odds as ``margin`` — a projection
+    with literal class stats.  Rank by the margin: probabilities near 0 and 1
+    run together."""
     rows = fitted_rows(fitted)
     j0, j1 = _jll(rows, 0, features), _jll(rows, 1, features)
-    return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1)))
+    return df.withColumns({margin: j1 - j0, out: F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1))})
 
 
 def fit_centroids(train: DataFrame, features: list[str], label: str = "label") -> DataFrame:
@@ -68,8 +70,9 @@ def fit_centroids(train: DataFrame, features: list[str], label: str = "label") -
     return per.join(sc, "feature").select(label, "feature", "mu", "scale")
 
 
-def apply_centroids(df: DataFrame, fitted: DataFrame, features: list[str], out: str = "score") -> DataFrame:
-    """score = logistic(d0^2 - d1^2) over standardised squared distances."""
+def apply_centroids(df: DataFrame, fitted: DataFrame, features: list[str], out: str = "score",
+                    margin: str = "margin") -> DataFrame:
+    """margin = d0^2 - d1^2 over standardised squared distances, score = its logistic."""
     rows = fitted_rows(fitted)
     by ={(r[0], r.feature): r for r in rows}
 
@@ -80,4 +83,4 @@ def apply_centroids(df: DataFrame, fitted: DataFrame, features: list[str], out:
             t = ((F.col(f"`{f}`") - F.lit(r.mu)) / F.lit(r.scale)) ** 2
             acc = t if acc is None else acc + t
         return acc
-    return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(d2(1) - d2(0))))
+    return df.withColumns({margin: d2(0) - d2(1), out: F.lit(1.0) / (F.lit(1.0) + F.exp(d2(1) - d2(0)))})

@@ -15,14 +15,31 @@ BY = ["model"]
 
 
 def _scored(spark, sf, on: str = "test", outcome: str = "urgent"):
+    """model, stay_id, label, margin, score, prediction.  Rows are ranked by the
+    margin (log-odds, which don't saturate); its 9 places only take off what
+    the order of a sum adds."""
     p = prepare(spark, sf, outcome=outcome)
     rows = p.test if on == "test" else p.train
     nb = classify.fit_gaussian_nb(p.train, p.features)
     ce = classify.fit_centroids(p.train, p.features)
-    a = classify.apply_gaussian_nb(rows, nb, p.features).select(F.lit("gaussian_nb").alias("model"), "stay_id", "label", "score")
-    b = classify.apply_centroids(rows, ce, p.features).select(F.lit("centroid").alias("model"), "stay_id", "label", "score")
-    s = a.unionByName(b).withColumn("score", F.round("score", 9))
-    return s.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    a = classify.apply_gaussian_nb(rows, nb, p.features).select(F.lit("gaussian_nb").alias("model"), "stay_id", "label", "margin")
+    b = classify.apply_centroids(rows, ce, p.features).select(F.lit("centroid").alias("model"), "stay_id", "label", "margin")
+    s = a.unionByName(b).withColumn("margin", F.round("margin", 9))
+    return s.withColumn("score", _probability("margin")).withColumn("prediction", (F.col("margin") > 0).cast("int"))
+
+
+def _probability(margin: str):
+    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(margin))), 9)
+
+
+def _thresholds(df):
+    """Thresholds on the margin as probabilities; the one at +inf (nothing is positive) stays."""
+    t = F.col("threshold")
+    return df.withColumn("threshold", F.when(t == float("inf"), t).otherwise(_probability("threshold")))
+
+
+THRESHOLD = """CASE WHEN threshold = CAST('inf' AS DOUBLE) THEN threshold
+            ELSE round(1.0 / (1.0 + exp(-threshold)), 9) END"""
 
 
 SCORE_CTES = """
@@ -45,15 +62,15 @@ SCORE_CTES = """
 , ylab AS (SELECT DISTINCT stay_id, label FROM rows_{on})
 , scored AS (
   SELECT 'gaussian_nb' AS model, y.stay_id, y.label,
-         round(1.0 / (1.0 + exp((j0.s + ln(p0.prior)) - (j1.s + ln(p1.prior)))), 9) AS score
+         round((j1.s + ln(p1.prior)) - (j0.s + ln(p0.prior)), 9) AS margin
   FROM ylab y JOIN nbjll j0 ON y.stay_id = j0.stay_id AND j0.cls = 0
   JOIN nbjll j1 ON y.stay_id = j1.stay_id AND j1.cls = 1
   CROSS JOIN (SELECT prior FROM nbprior WHERE label = 0) p0 CROSS JOIN (SELECT prior FROM nbprior WHERE label = 1) p1
   UNION ALL
-  SELECT 'centroid', y.stay_id, y.label, round(1.0 / (1.0 + exp(d1.d2 - d0.d2)), 9)
+  SELECT 'centroid', y.stay_id, y.label, round(d0.d2 - d1.d2, 9)
   FROM ylab y JOIN cedist d0 ON y.stay_id = d0.stay_id AND d0.cls = 0
   JOIN cedist d1 ON y.stay_id = d1.stay_id AND d1.cls = 1)
-, preds AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS prediction FROM scored)
+, preds AS (SELECT *, round(1.0 / (1.0 + exp(-margin)), 9) AS score, CAST(margin > 0 AS INTEGER) AS prediction FROM scored)
 , conf AS (SELECT model, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
                  count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
                  count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
@@ -63,15 +80,15 @@ SCORE_CTES = """
     coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
     coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS recall,
     coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM conf)
-, sc AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
-         FROM preds GROUP BY model, score)
-, curve AS (SELECT model, score, pos, neg,
-    sum(pos) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
-    sum(neg) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+, sc AS (SELECT model, margin, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+         FROM preds GROUP BY model, margin)
+, curve AS (SELECT model, margin, pos, neg,
+    sum(pos) OVER (PARTITION BY model ORDER BY margin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+    sum(neg) OVER (PARTITION BY model ORDER BY margin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
     sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N FROM sc)
 , auc AS (SELECT model, sum(pos * (N - cum_neg + 0.5 * neg)) / (any_value(P) * any_value(N)) AS auc
           FROM curve GROUP BY model)
-, roc AS (SELECT model, score AS threshold, CAST(cum_neg AS DOUBLE) / N AS fpr, CAST(cum_pos AS DOUBLE) / P AS tpr FROM curve
+, roc AS (SELECT model, margin AS threshold, CAST(cum_neg AS DOUBLE) / N AS fpr, CAST(cum_pos AS DOUBLE) / P AS tpr FROM curve
           UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM preds)
 , youden AS (SELECT model, arg_max(threshold, (tpr - fpr, threshold)) AS threshold, max(tpr - fpr) AS youden_j
              FROM roc GROUP BY model)
@@ -84,12 +101,12 @@ def _sql(body: str, on: str = "test") -> str:
 
 @register("gaussian_nb", _sql("SELECT model, stay_id, label, score, prediction FROM preds WHERE model = 'gaussian_nb'"))
 def q_gnb(spark, sf):
-    return _scored(spark, sf).where(F.col("model") == "gaussian_nb")
+    return _scored(spark, sf).where(F.col("model") == "gaussian_nb").drop("margin")
 
 
 @register("centroid_scores", _sql("SELECT model, stay_id, label, score, prediction FROM preds WHERE model = 'centroid'"))
 def q_centroid(spark, sf):
-    return _scored(spark, sf).where(F.col("model") == "centroid")
+    return _scored(spark, sf).where(F.col("model") == "centroid").drop("margin")
 
 
 @register("confusion_counts", _sql("SELECT model, tn, fp, fn, tp FROM conf"))
@@ -107,46 +124,47 @@ def q_class_metrics(spark, sf):
 
 @register("roc_auc", _sql("SELECT model, round(auc, 6) AS auc FROM auc"))
 def q_auc(spark, sf):
-    return rounded(evaluate.roc_auc(_scored(spark, sf), BY))
+    return rounded(evaluate.roc_auc(_scored(spark, sf), BY, score="margin"))
 
 
 @register("roc_auc_train", _sql("SELECT model, round(auc, 6) AS auc FROM auc", on="train"))
 def q_auc_train(spark, sf):
-    return rounded(evaluate.roc_auc(_scored(spark, sf, "train"), BY))
+    return rounded(evaluate.roc_auc(_scored(spark, sf, "train"), BY, score="margin"))
 
 
-@register("roc_curve", _sql("SELECT model, threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc"))
+@register("roc_curve", _sql(f"SELECT model, {THRESHOLD} AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc"))
 def q_roc(spark, sf):
-    return rounded(evaluate.roc_curve(_scored(spark, sf), BY), keep=("threshold",))
+    return rounded(_thresholds(evaluate.roc_curve(_scored(spark, sf), BY, score="margin")), keep=("threshold",))
 
 
-@register("youden_threshold", _sql("SELECT model, threshold, round(youden_j, 6) AS youden_j FROM youden"))
+@register("youden_threshold", _sql(f"SELECT model, {THRESHOLD} AS threshold, round(youden_j, 6) AS youden_j FROM youden"))
 def q_youden(spark, sf):
-    return rounded(evaluate.youden_threshold(evaluate.roc_curve(_scored(spark, sf), BY), BY), keep=("threshold",))
+    best = evaluate.youden_threshold(evaluate.roc_curve(_scored(spark, sf), BY, score="margin"), BY)
+    return rounded(_thresholds(best), keep=("threshold",))
 
 
-@register("threshold_predict", _sql("""
-SELECT p.model, y.threshold,
-       count(*) FILTER (WHERE label = 0 AND score < y.threshold) AS tn,
-       count(*) FILTER (WHERE label = 0 AND score >= y.threshold) AS fp,
-       count(*) FILTER (WHERE label = 1 AND score < y.threshold) AS fn,
-       count(*) FILTER (WHERE label = 1 AND score >= y.threshold) AS tp
+@register("threshold_predict", _sql(f"""
+SELECT p.model, {THRESHOLD} AS threshold,
+       count(*) FILTER (WHERE label = 0 AND margin < threshold) AS tn,
+       count(*) FILTER (WHERE label = 0 AND margin >= threshold) AS fp,
+       count(*) FILTER (WHERE label = 1 AND margin < threshold) AS fn,
+       count(*) FILTER (WHERE label = 1 AND margin >= threshold) AS tp
 FROM preds p JOIN youden y ON p.model = y.model GROUP BY p.model, y.threshold"""))
 def q_threshold_predict(spark, sf):
     s = _scored(spark, sf).drop("prediction")
-    thr = evaluate.youden_threshold(evaluate.roc_curve(s, BY), BY)
-    applied = evaluate.apply_threshold(s, thr, BY)
-    return evaluate.confusion(applied, BY).join(thr.select("model", "threshold"), "model") \
+    thr = evaluate.youden_threshold(evaluate.roc_curve(s, BY, score="margin"), BY)
+    applied = evaluate.apply_threshold(s, thr, BY, score="margin")
+    return evaluate.confusion(applied, BY).join(_thresholds(thr).select("model", "threshold"), "model") \
         .select("model", "threshold", "tn", "fp", "fn", "tp")
 
 
 @register("pr_curve", _sql("""
-SELECT model, score AS threshold, round(CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg), 6) AS precision,
+SELECT model, round(1.0 / (1.0 + exp(-margin)), 9) AS threshold, round(CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg), 6) AS precision,
        round(CAST(cum_pos AS DOUBLE) / P, 6) AS recall
 FROM curve WHERE cum_pos - pos < P OR P = 0
 UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM preds"""))
 def q_pr(spark, sf):
-    return rounded(evaluate.pr_curve(_scored(spark, sf), BY), keep=("threshold",))
+    return rounded(_thresholds(evaluate.pr_curve(_scored(spark, sf), BY, score="margin")), keep=("threshold",))
 
 
 @register("average_precision", _sql("""
@@ -154,7 +172,7 @@ SELECT model, round(sum(pos * CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg)) / a
        round(CAST(any_value(P) AS DOUBLE) / (any_value(P) + any_value(N)), 6) AS baseline
 FROM curve GROUP BY model"""))
 def q_ap(spark, sf):
-    return rounded(evaluate.average_precision(_scored(spark, sf), BY))
+    return rounded(evaluate.average_precision(_scored(spark, sf), BY, score="margin"))
 
 
 @register("class_report", _sql("""
@@ -180,7 +198,7 @@ def q_class_report(spark, sf):
 def _metric_table(spark, sf, outcome: str = "urgent"):
     s = _scored(spark, sf, outcome=outcome)
     m = evaluate.class_metrics(evaluate.confusion(s, BY))
-    return m.join(evaluate.roc_auc(s, BY), "model")
+    return m.join(evaluate.roc_auc(s, BY, score="margin"), "model")
 
 
 MT_CTE = """
@@ -259,10 +277,10 @@ def q_display(spark, sf):
     return report.display(_metric_table(spark, sf), cols, 4).select("model", *cols)
 
 
-@register("threshold_table", _sql("SELECT model, threshold AS best_threshold FROM youden"))
+@register("threshold_table", _sql(f"SELECT model, {THRESHOLD} AS best_threshold FROM youden"))
 def q_threshold_table(spark, sf):
     s = _scored(spark, sf)
-    return evaluate.youden_threshold(evaluate.roc_curve(s, BY), BY).select(
+    return _thresholds(evaluate.youden_threshold(evaluate.roc_curve(s, BY, score="margin"), BY)).select(
         "model", F.col("threshold").alias("best_threshold"))
 
 
@@ -275,10 +293,10 @@ FROM best b JOIN (SELECT model, sum(pos * CAST(cum_pos AS DOUBLE) / (cum_pos + c
                   FROM curve GROUP BY model) ap ON b.model = ap.model""".replace("\n, best AS", ", best AS", 1)))
 def q_final_report(spark, sf):
     s = _scored(spark, sf)
-    m = evaluate.class_metrics(evaluate.confusion(s, BY)).join(evaluate.roc_auc(s, BY), "model")
+    m = evaluate.class_metrics(evaluate.confusion(s, BY)).join(evaluate.roc_auc(s, BY, score="margin"), "model")
     best = report.best_model(m)
     out = best.join(report.bands(m), "model").join(
-        evaluate.average_precision(s, BY).select("model", "average_precision"), "model")
+        evaluate.average_precision(s, BY, score="margin").select("model", "average_precision"), "model")
     return rounded(out.select("model", "accuracy", "precision", "recall", "f1", "auc", "tn", "fp", "fn", "tp",
                               "auc_band", "precision_band", "recall_band", "average_precision"))
 

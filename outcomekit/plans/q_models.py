@@ -143,14 +143,14 @@ CV_SQL = with_cohort(f"""
             FROM tf JOIN cvfit c ON c.h = tf.fold AND c.feature = tf.feature JOIN cveps e ON e.h = tf.fold
             GROUP BY tf.fold, tf.stay_id, c.label)
 , cvscore AS (SELECT j0.h, j0.stay_id, f.label,
-                     round(1.0 / (1.0 + exp((j0.s + ln(p0.prior)) - (j1.s + ln(p1.prior)))), 9) AS score
+                     round((j1.s + ln(p1.prior)) - (j0.s + ln(p0.prior)), 9) AS margin
               FROM cvjll j0 JOIN cvjll j1 ON j0.stay_id = j1.stay_id AND j0.cls = 0 AND j1.cls = 1
               JOIN cvprior p0 ON p0.h = j0.h AND p0.label = 0 JOIN cvprior p1 ON p1.h = j0.h AND p1.label = 1
               JOIN folds f ON f.stay_id = j0.stay_id)
-, cvsc AS (SELECT h, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
-           FROM cvscore GROUP BY h, score)
+, cvsc AS (SELECT h, margin, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+           FROM cvscore GROUP BY h, margin)
 , cvcurve AS (SELECT h, pos, neg,
-    sum(neg) OVER (PARTITION BY h ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+    sum(neg) OVER (PARTITION BY h ORDER BY margin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
     sum(pos) OVER (PARTITION BY h) AS P, sum(neg) OVER (PARTITION BY h) AS N FROM cvsc)
 , cvauc AS (SELECT h AS fold, sum(pos * (N - cum_neg + 0.5 * neg)) / (any_value(P) * any_value(N)) AS auc
             FROM cvcurve GROUP BY h)
@@ -169,12 +169,12 @@ def q_cv(spark, sf):
     for f in range(3):
         fit = classify.fit_gaussian_nb(tr.where(F.col("fold") != f), p.features)
         held = classify.apply_gaussian_nb(tr.where(F.col("fold") == f), fit, p.features) \
-            .select(F.lit(f).alias("fold"), "label", F.round("score", 9).alias("score"))
+            .select(F.lit(f).alias("fold"), "label", F.round("margin", 9).alias("margin"))
         parts.append(held)
     scored = parts[0]
     for x in parts[1:]:
         scored = scored.unionByName(x)
-    auc = evaluate.roc_auc(scored, ["fold"])
+    auc = evaluate.roc_auc(scored, ["fold"], score="margin")
     w = Window.partitionBy()  # three rows
     return rounded(auc.select(F.col("fold").cast("int").alias("fold"), "auc",
                               F.avg("auc").over(w).alias("mean_auc"), F.stddev_pop("auc").over(w).alias("std_auc")))

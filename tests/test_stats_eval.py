@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from outcomekit.operators import evaluate, stats
+from outcomekit.operators import classify, evaluate, stats
 
 
 def _data(spark, n=400, seed=1):
@@ -45,3 +45,15 @@ def test_auc_matches_mllib_and_is_antisymmetric(spark):
     neg = evaluate.roc_auc(p.withColumn("score", -F.col("score")), ["model"]).first().auc
     assert auc + neg == pytest.approx(1.0, abs=1e-12)
     assert 0.0 <= auc <= 1.0
+
+
+def test_margin_ranks_where_probabilities_run_together(spark):
+    """Scores of 1 - 1e-20 and 1 - 1e-30 are one double; their log-odds aren't."""
+    train = spark.createDataFrame([(i, i % 2, (i % 2) * 100.0 + i % 5) for i in range(40)], "stay_id long, label int, x double")
+    rows = spark.createDataFrame([(1, 0, 90.0), (2, 1, 150.0), (3, 0, 80.0), (4, 1, 120.0)], "stay_id long, label int, x double")
+    out = classify.apply_gaussian_nb(rows, classify.fit_gaussian_nb(train, ["x"]), ["x"]).withColumn("model", F.lit("m"))
+    got = {r.stay_id: r for r in out.collect()}
+    assert {r.score for r in got.values()} == {1.0}
+    assert got[3].margin < got[1].margin < got[4].margin < got[2].margin
+    assert evaluate.roc_auc(out, ["model"]).first().auc == 0.5
+    assert evaluate.roc_auc(out, ["model"], score="margin").first().auc == 1.0
