@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions.expr import safe_div
-from outcomekit.functions.prefix import running_totals
+from outcomekit.functions.prefix import neighbours_in_order, running_totals
 
 
 def _z(c: Column) -> Column:
@@ -84,6 +84,24 @@ def roc_curve(preds: DataFrame, by: list[str], label: str = "label", score: str
     return pts.unionByName(start)
 
 
+def roc_corners(preds: DataFrame, by: list[str], label: str = "label", score: str = "score",
+                rows_per_range: int = 500_000) -> DataFrame:
+    """``roc_curve`` without its collinear points (scikit-learn's
+    ``drop_intermediate``): a point goes where the step to it and the step from
+    it add the same positives and the same negatives.  The first and the last
+    score and the start at +inf stay; the area is that of the whole curve."""
+    c = _curve(preds, by, label, score)
+    near = neighbours_in_order(c, "score", ["pos", "neg"], by, rows_per_range=rows_per_range)
+    same = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg")) & F.col("prev_pos").isNotNull()
+    pts = near.where(~F.coalesce(same, F.lit(False))).select(
+        *by, F.col("score").alias("threshold"),
+        safe_div(F.col("cum_neg").cast("double"), F.col("N").cast("double")).alias("fpr"),
+        safe_div(F.col("cum_pos").cast("double"), F.col("P").cast("double")).alias("tpr"))
+    start = preds.select(*by).distinct().select(*by, F.lit(float("inf")).alias("threshold"),
+                                                 F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return pts.unionByName(start)
+
+
 def youden_threshold(roc: DataFrame, by: list[str]) -> DataFrame:
     """E5: argmax(tpr - fpr) over all points of the curve, the one at +inf
     (nothing is positive) included; ties -> the highest threshold."""

@@ -137,6 +137,17 @@ def q_roc(spark, sf):
     return rounded(_thresholds(evaluate.roc_curve(_scored(spark, sf), BY, score="margin")), keep=("threshold",))
 
 
+@register("roc_corners", _sql(f"""
+, steps AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, lag(pos) OVER w AS prev_pos
+            FROM curve WINDOW w AS (PARTITION BY model ORDER BY margin DESC))
+, corners AS (SELECT model, margin AS threshold, CAST(cum_neg AS DOUBLE) / N AS fpr, CAST(cum_pos AS DOUBLE) / P AS tpr FROM steps
+              WHERE prev_pos IS NULL OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg
+              UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM preds)
+SELECT model, {THRESHOLD} AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM corners"""))
+def q_corners(spark, sf):
+    return rounded(_thresholds(evaluate.roc_corners(_scored(spark, sf), BY, score="margin")), keep=("threshold",))
+
+
 @register("youden_threshold", _sql(f"SELECT model, {THRESHOLD} AS threshold, round(youden_j, 6) AS youden_j FROM youden"))
 def q_youden(spark, sf):
     best = evaluate.youden_threshold(evaluate.roc_curve(_scored(spark, sf), BY, score="margin"), BY)
