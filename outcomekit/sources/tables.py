@@ -41,18 +41,22 @@ def normalise_nulls(df: DataFrame, na_tokens: tuple[str, ...] = NA_TOKENS) -> Da
     return df.select(*out)
 
 
+def _absent(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+
+
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet",
                required: bool = True, normalise: bool = False,
                **options) -> DataFrame | None:
     """Guarded scan (S2): a missing input raises ``TableMissing`` or gives None."""
     try:
         df = spark.read.format(fmt).options(**options).load(path)
-    except AnalysisException as exc:  # PATH_NOT_FOUND and friends
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            if required:
-                raise TableMissing(path) from exc
-            return None
-        raise
+    except AnalysisException as exc:
+        if not _absent(exc):
+            raise
+        if required:
+            raise TableMissing(path) from exc
+        return None
     return normalise_nulls(df) if normalise else df
 
 
@@ -69,6 +73,8 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str |
             reader = reader.schema(schema)
         df = reader.csv(path)
     except AnalysisException as exc:
+        if not _absent(exc):
+            raise
         if required:
             raise TableMissing(path) from exc
         return None
