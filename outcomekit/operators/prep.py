@@ -90,11 +90,10 @@ def missing_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or df.columns
     agg = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.count_if(_q(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
-    stack = "stack({}, {}) as (column_name, n_missing)".format(
-        len(cols), ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols)))
-    return agg.selectExpr("__n as n_rows", stack).select(
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing")) for i, c in enumerate(cols)])
+    return agg.select(F.col("__n").alias("n_rows"), F.inline(pairs)).select(
         "column_name", "n_missing", "n_rows",
-        (F.col("n_missing") / F.col("n_rows")).alias("missing_rate"))
+        safe_div(F.col("n_missing").cast("double"), F.col("n_rows").cast("double")).alias("missing_rate"))
 
 
 def fit_missingness(df: DataFrame, cols: list[str] | None = None,
@@ -122,7 +121,8 @@ def apply_missingness(df: DataFrame, fitted: DataFrame, protect: tuple[str, ...]
 def to_long(df: DataFrame, ids: list[str], cols: list[str], name: str = "feature",
             value: str = "value") -> DataFrame:
     """Wide -> long (unpivot) with all values as double; NULL rows kept."""
-    return df.select(*ids, *[_q(c).cast("double").alias(c) for c in cols]).unpivot(ids, cols, name, value)
+    ids = [_q(i) for i in ids]
+    return df.select(*ids, *[_q(c).cast("double").alias(c) for c in cols]).unpivot(ids, [_q(c) for c in cols], name, value)
 
 
 def fit_impute(df: DataFrame, cols: list[str], strategy: str = "median") -> DataFrame:
@@ -153,7 +153,7 @@ def fit_mode(df: DataFrame, cols: list[str], unknown: str = "Unknown") -> DataFr
     """C13 fit: most frequent non-null text per column; ties -> smallest value;
     all-null -> ``unknown``.  Counts are per (column, value) groups, so a hot
     value is one pre-aggregated row, never a large group."""
-    long = df.select(*[_q(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
+    long = df.select(*[_q(c).cast("string").alias(c) for c in cols]).unpivot([], [_q(c) for c in cols], "feature", "value")
     counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("feature").agg(
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
