@@ -42,4 +42,4 @@ def rounded(df: DataFrame, places: int = 6, keep: tuple[str, ...] = ()) -> DataF
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from outcomekit.plans import q_profile, q_prep, q_stats, q_eval, q_balance, q_models, q_kernel  # noqa: F401
+    from outcomekit.plans import q_profile, q_prep, q_stats, q_eval, q_balance, q_models, q_kernel, q_stored  # noqa: F401
