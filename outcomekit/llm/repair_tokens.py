@@ -41,8 +41,7 @@ from outcomekit.llm.common import table, written
 
 END_ID = 0
 SHARD_IDS = 1 << 20          # a shard is closed once it has so many ids
-LEAST_SHARE = 1 / 4000       # a pair is frequent if it makes up this share of the symbols, ...
-LEAST_COUNT = 8              # ... and occurs so often at least
+LEAST_COUNT = 8              # a pair is frequent if it occurs so often, in a shard of any size
 ANCHOR = 1024                # symbols between two anchors
 FIRST_RULE = 1 << 20         # above every id of the vocabularies used
 MEMO = 300_000               # distinct pieces in one generation of what a worker remembers
@@ -53,8 +52,7 @@ FORMAT = ("part int, seq int, doc_ids binary, no_id binary, n_tokens binary, rul
 
 # ---- Re-Pair ------------------------------------------------------------
 
-def compress(ids: np.ndarray, least_share: float = LEAST_SHARE,
-             least_count: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """Rules (k x 2) and the compressed symbols of ``ids``.
 
     Each round counts all pairs of neighbours, takes the frequent ones (most
@@ -66,16 +64,15 @@ def compress(ids: np.ndarray, least_share: float = LEAST_SHARE,
     rules: list[np.ndarray] = []
     made = 0
     while len(seq) > 1:
-        least = max(least_count, int(len(seq) * least_share))
         # a pair is frequent only if its hash bucket is: count buckets, then the pairs in the full ones
         bucket = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(14)
-        full = np.bincount(bucket, minlength=1 << 18) >= least
+        full = np.bincount(bucket, minlength=1 << 18) >= least_count
         spots = np.flatnonzero(full[bucket])
         key = (seq[spots].astype(np.uint64) << np.uint64(32)) | seq[spots + 1]
         ordered = np.sort(key)
         starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, len(ordered)))
-        often = np.flatnonzero(counts >= least)
+        often = np.flatnonzero(counts >= least_count)
         if not len(often):
             break
         often = often[np.argsort(-counts[often], kind="stable")]
