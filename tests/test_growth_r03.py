@@ -6,7 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from outcomekit.functions.quantiles import exact_quantiles
-from outcomekit.operators import classify, evaluate
+from outcomekit.operators import bootstrap, classify, evaluate
 from outcomekit.sources.cohort import build_cohort
 
 
@@ -57,6 +57,15 @@ def test_features_beyond_one_pass(spark):
     assert len(got) == 2 * len(names) and got[1, names[-1]] == 2.0 * len(names) and got[0, "x0"] == 1.0
 
 
+def test_draws_hash_a_row_once_a_use(spark):
+    df = spark.range(50).select(F.col("id").alias("stay_id"), (F.col("id") % 2).cast("int").alias("label"))
+    drawn = df.withColumn("n", bootstrap.draws("stay_id", 3)).where("n > 0")
+    assert drawn._jdf.queryExecution().optimizedPlan().toString().count("md5(") <= 2
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("stay_id"), F.lit(3), F.lit("boot42"))), 1, 8), 16, 10).cast("bigint") / 2.0 ** 32
+    for r in df.select(bootstrap.draws("stay_id", 3).alias("n"), u.alias("u")).collect():
+        assert r.n == sum(r.u >= p for p in bootstrap.POISSON)
+
+
 def test_counts_of_values_and_scores_are_kept(spark):
     df = spark.createDataFrame([("m", 1, 0.9), ("m", 0, 0.2), ("m", 1, 0.2), ("m", 0, 0.1)], "model string, label int, score double")
     auc = evaluate.roc_auc(df, ["model"])
