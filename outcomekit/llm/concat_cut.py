@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outcomekit.llm.common import offsets, small_batches, table, written
-from outcomekit.llm.repair_tokens import PieceEncoder
+from outcomekit.llm.repair_tokens import encoder
 
 LENGTH = 1024                # ids in a sequence
 END_ID = 0                   # follows each document
@@ -39,14 +39,6 @@ BATCH_ROWS = 256             # texts encoded at once
 
 _PIECES = "doc_ids array<bigint>, starts array<bigint>, lengths array<int>, doc_tokens array<bigint>"
 SEQUENCES = f"sequence_id long, first int, length int, ids binary, {_PIECES}"
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """The worker process's encoder: what it remembers serves later tasks too."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
 
 
 # ---- first pass: encode -------------------------------------------------

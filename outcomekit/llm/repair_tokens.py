@@ -44,7 +44,7 @@ SHARD_IDS = 1 << 20          # a shard is closed once it has so many ids
 LEAST_COUNT = 8              # a pair is frequent if it occurs so often, in a shard of any size
 ANCHOR = 1024                # symbols between two anchors
 FIRST_RULE = 1 << 20         # above every id of the vocabularies used
-MEMO = 300_000               # distinct pieces in one generation of what a worker remembers
+MEMO = 600_000               # distinct pieces in one generation of what a worker remembers
 
 FORMAT = ("part int, seq int, doc_ids binary, no_id binary, n_tokens binary, rules binary, lengths binary, "
           "symbols binary, anchors binary, n_ids long")
@@ -63,12 +63,16 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarra
     seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     made = 0
-    while len(seq) > 1:
+    # places whose pair may be frequent.  A pair of symbols older than the last round is as frequent now only
+    # if it was then, so after a round these are the places left over and those beside a new symbol
+    spots = np.arange(max(0, len(seq) - 1))
+    while len(spots) >= least_count:
+        left, right = seq[spots], seq[spots + 1]
         # a pair is frequent only if its hash bucket is: count buckets, then the pairs in the full ones
-        bucket = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(14)
-        full = np.bincount(bucket, minlength=1 << 18) >= least_count
-        spots = np.flatnonzero(full[bucket])
-        key = (seq[spots].astype(np.uint64) << np.uint64(32)) | seq[spots + 1]
+        bucket = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(14)
+        full = np.flatnonzero((np.bincount(bucket, minlength=1 << 18) >= least_count)[bucket])
+        spots, left, right = spots[full], left[full], right[full]
+        key = (left.astype(np.uint64) << np.uint64(32)) | right
         ordered = np.sort(key)
         starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, len(ordered)))
@@ -86,9 +90,13 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarra
             rights.add(b)
             taken.append(pair)
         pairs = np.array(sorted(taken), np.uint64)
-        which = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
-        hit = pairs[which] == key
-        at, which = spots[hit], which[hit]
+        symbols = int(max(left.max(), right.max())) + 1
+        is_left, is_right = np.zeros(symbols, bool), np.zeros(symbols, bool)
+        is_left[list(lefts)], is_right[list(rights)] = True, True
+        maybe = np.flatnonzero(is_left[left] & is_right[right])
+        which = np.minimum(np.searchsorted(pairs, key[maybe]), len(pairs) - 1)
+        hit = pairs[which] == key[maybe]
+        at, which = spots[maybe[hit]], which[hit]
         if any((p >> 32) == (p & 0xFFFFFFFF) for p in taken):
             # a pair of equal symbols overlaps itself: every other one of a run
             run = np.concatenate(([True], np.diff(at) != 1))
@@ -98,7 +106,14 @@ def compress(ids: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarra
         seq[at] = (FIRST_RULE + made + which).astype(np.uint32)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
+        # the places of the next round, ascending, counted in the shorter sequence
+        open_ = np.zeros(len(seq), bool)
+        open_[spots] = True
+        open_[at] = True
+        open_[at[at > 0] - 1] = True      # one that goes away was the right side of another new symbol
         seq = seq[stay]
+        spots = np.flatnonzero(open_[stay])
+        spots = spots[spots < len(seq) - 1]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         made += len(pairs)
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), seq
@@ -124,17 +139,15 @@ def decompress(rules: np.ndarray, lengths: np.ndarray, symbols: np.ndarray) -> n
     """The ids that ``symbols`` stand for."""
     if not len(rules):
         return symbols.astype(np.uint32)
-    flat = np.concatenate(_expanded_rules(rules))
+    # ids are read from the rules' expansions, and from the symbols themselves behind them
+    source = np.concatenate([*_expanded_rules(rules), symbols.astype(np.uint32)])
     begin = np.cumsum(lengths.astype(np.int64)) - lengths
     is_rule = symbols >= FIRST_RULE
     rule = np.where(is_rule, symbols.astype(np.int64) - FIRST_RULE, 0)
     size = np.where(is_rule, lengths[rule], 1).astype(np.int64)
-    out = np.repeat(symbols, size)
+    first = np.where(is_rule, begin[rule], len(source) - len(symbols) + np.arange(len(symbols)))
     ends = np.cumsum(size)
-    mask = np.repeat(is_rule, size)
-    inside = np.arange(len(out)) - np.repeat(ends - size, size)
-    out[mask] = flat[(np.repeat(begin[rule], size) + inside)[mask]]
-    return out
+    return source[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def decode_range(rules: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, anchors: np.ndarray,
@@ -204,7 +217,9 @@ class PieceEncoder(dict):
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, word: str) -> bytes:
-        written_as = word.encode().decode("latin-1").translate(self.letters)
+        # printable ASCII stands for itself, but for a space in front
+        plain = word.isascii() and word[1:].isalpha()
+        written_as = (self.letters[32] + word[1:] if word[0] == " " else word) if plain else word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(written_as)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes | None:
@@ -212,12 +227,11 @@ class PieceEncoder(dict):
         if ids is None:
             if piece == " " or piece[-1].isspace() or piece[piece[0] == " "].isspace():
                 return None
-            core = piece.rstrip(self.MARKS)
             if piece.isalpha() or (piece[0] == " " and piece[1:].isalpha()):
                 ids = self._word(piece)
             elif self.whole.search(piece):
                 ids = self._encode([piece])[0]
-            elif len(core) < len(piece) and core[-1:].isalnum():
+            elif len(core := piece.rstrip(self.MARKS)) < len(piece) and core[-1:].isalnum():
                 ids = self[core] + self[piece[len(core):]]
             elif piece.isascii():
                 words = ASCII_WORDS.findall(piece)
@@ -249,11 +263,21 @@ class PieceEncoder(dict):
         return [next(rest) if o is None else o for o in out]
 
 
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
+    """The worker process's encoder: what it remembers serves later tasks too."""
+    if path not in _encoders:
+        _encoders[path] = PieceEncoder(path)
+    return _encoders[path]
+
+
 def _write_shards(path: str, shard_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, enc, seq = TaskContext.get().partitionId(), PieceEncoder(path), 0
+        part, enc, seq = TaskContext.get().partitionId(), encoder(path), 0
         end = np.uint32(END_ID).tobytes()
         ids: list[bytes] = []
         names: list[int | None] = []
