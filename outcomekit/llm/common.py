@@ -28,9 +28,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder, read it
-    back.  The files outlive a lost executor; each plan above runs once."""
+    back.  The files outlive a lost executor; each plan above runs once, so the
+    shuffle files of the write go as soon as it is done."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _set(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
@@ -46,6 +48,20 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """What runs inside sees this setting; the session's own comes back after."""
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, own)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """What is written inside sends Arrow batches of at most ``rows`` rows to
@@ -53,15 +69,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     them takes tens of MB in each task, on both sides.  A smaller setting of
     the session's own stays."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    own = spark.conf.get(name)
-    if 0 < int(own) <= rows:
+    if 0 < int(spark.conf.get(name)) <= rows:
         yield
         return
-    spark.conf.set(name, rows)
-    try:
+    with _set(spark, name, str(rows)):
         yield
-    finally:
-        spark.conf.set(name, own)
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
