@@ -44,7 +44,7 @@ SHARD_IDS = 1 << 20          # a shard is closed once it has so many ids
 LEAST_COUNT = 8              # a pair is frequent if it occurs so often, in a shard of any size
 ANCHOR = 1024                # symbols between two anchors
 FIRST_RULE = 1 << 20         # above every id of the vocabularies used
-MEMO = 600_000               # distinct pieces in one generation of what a worker remembers
+MEMO = 1_000_000             # distinct pieces in one generation of what a worker remembers
 
 FORMAT = ("part int, seq int, doc_ids binary, no_id binary, n_tokens binary, rules binary, lengths binary, "
           "symbols binary, anchors binary, n_ids long")
@@ -351,7 +351,8 @@ def read_token_files(files: DataFrame) -> DataFrame:
     wp = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("part"), F.coalesce(F.sum("_p").over(wp), F.lit(0)).alias("_base"))
     start = inside.join(parts, "part").select("part", "seq", (F.col("_in") + F.col("_base")).alias("_before"))
-    return files.join(start, ["part", "seq"]).mapInArrow(
+    # a row a shard of ``SHARD_IDS`` ids: the files themselves are not shuffled for it
+    return files.join(F.broadcast(start), ["part", "seq"]).mapInArrow(
         _read_shard, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
