@@ -10,6 +10,8 @@ from outcomekit.plans import models
 def test_training_rows_are_gathered(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     df = spark.range(1000).repartition(5 * cores)
+    assert prep.gathered(df).rdd.getNumPartitions() == 5 * cores           # few rows stay as they lie
+    monkeypatch.setattr(prep, "ROWS_A_TASK", 900)
     few = prep.gathered(df)
     assert few.rdd.getNumPartitions() == cores and few.count() == 1000
     assert prep.gathered(spark.range(1000, numPartitions=1)).rdd.getNumPartitions() == 1
@@ -20,6 +22,7 @@ def test_training_rows_are_gathered(spark, monkeypatch):
 def test_learner_fits_on_gathered_rows(spark, monkeypatch):
     seen = []
     real = models.gathered
+    monkeypatch.setattr(prep, "ROWS_A_TASK", 100)
     monkeypatch.setattr(models, "gathered", lambda rows: seen.append(real(rows)) or seen[-1])
     rows = spark.range(200).select(F.col("id").alias("stay_id"), (F.col("id") % 2).cast("int").alias("label"),
                                    (F.col("id") % 7 + F.col("id") % 2).cast("double").alias("x")).repartition(40)
