@@ -4,7 +4,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from outcomekit.operators import bootstrap, prep
+from outcomekit.operators import bootstrap, kernel, prep
 
 
 def numbers(spark, n=300, parts=40):
@@ -31,3 +31,10 @@ def test_rows_of_a_task(spark, monkeypatch):
     monkeypatch.setattr(prep, "FEW_ROWS", 999)
     # beyond the few, rows of up to ROWS_A_TASK a core go to as many partitions as there are cores
     assert prep.ROWS_A_TASK >= 1_000_000 and prep.gathered(df).rdd.getNumPartitions() == cores
+
+
+def test_margins_of_the_folds_are_kept_for_the_sigmoid(spark, monkeypatch):
+    levels, fit = [], kernel.fit_platt
+    monkeypatch.setattr(kernel, "fit_platt", lambda margins: levels.append(margins.storageLevel.useMemory) or fit(margins))
+    kernel.fit_kernel_svm(numbers(spark, 200, 2), ["x", "y"], components=4, folds=2, maxIter=2)
+    assert levels == [True]
