@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from outcomekit.operators import bootstrap, kernel, prep
+from outcomekit.plans import tuning
 
 
 def numbers(spark, n=300, parts=40):
@@ -38,3 +39,13 @@ def test_margins_of_the_folds_are_kept_for_the_sigmoid(spark, monkeypatch):
     monkeypatch.setattr(kernel, "fit_platt", lambda margins: levels.append(margins.storageLevel.useMemory) or fit(margins))
     kernel.fit_kernel_svm(numbers(spark, 200, 2), ["x", "y"], components=4, folds=2, maxIter=2)
     assert levels == [True]
+
+
+def test_learners_in_folds_do_not_carry_the_plan_of_the_rows(spark, monkeypatch):
+    plans, fit = [], tuning.fit_learner
+    monkeypatch.setattr(tuning, "fit_learner", lambda name, df, *a: plans.append(df._jdf.queryExecution().toString()) or fit(name, df, *a))
+    rows = numbers(spark, 90, 2).withColumn("fold", (F.floor(F.col("stay_id") / 3) % 3).cast("int"))
+    assert "Range" in rows._jdf.queryExecution().toString()
+    tuning.cross_validate(["naive_bayes"], rows, ["x", "y"])
+    tuning.tune("naive_bayes", rows, ["x", "y"], [{}])
+    assert len(plans) == 8 and not any("Range" in p for p in plans)
